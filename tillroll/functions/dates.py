@@ -29,7 +29,7 @@ def month_key(data, mode: str = "date") -> Column:
         return F.substring(c.cast("string"), 1, 7)
     if mode == "unix":
         text = F.date_format(c.try_cast("date"), "yyyy-MM-dd")
-        return F.from_unixtime(F.unix_timestamp(text, F.lit("yyyy-MM-dd")), "yyyy-MM")
+        return F.from_unixtime(F.unix_timestamp(text, "yyyy-MM-dd"), "yyyy-MM")
     raise ValueError(f"month mode must be one of {MONTH_MODES}, got {mode!r}")
 
 
