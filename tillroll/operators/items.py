@@ -31,9 +31,13 @@ def basket(items: DataFrame, distinct_items: bool = False) -> DataFrame:
 
     The count aggregates map-side first (partial + final hash aggregate), so
     a receipt with many copies of one item shrinks to one row before any
-    shuffle.  ``distinct_items=True`` sets every ``c`` to 1.
+    shuffle.  ``distinct_items=True`` sets every ``c`` to 1.  A NULL product
+    is not an item.  (Both NULL filters also keep every later branch of a
+    plan over the basket identical, so its shuffle is computed once and
+    reused.)
     """
-    b = items.groupBy("rid", "product").agg(F.count(F.lit(1)).alias("c"))
+    b = (items.where(F.col("rid").isNotNull() & F.col("product").isNotNull())
+         .groupBy("rid", "product").agg(F.count(F.lit(1)).alias("c")))
     if distinct_items:
         b = b.select("rid", "product", F.lit(1).cast("bigint").alias("c"))
     return b

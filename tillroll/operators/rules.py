@@ -109,26 +109,38 @@ def pair_weights(b: DataFrame, ordered: bool = False,
     return plain.unionByName(grid)
 
 
-def self_pair_counts(b: DataFrame) -> DataFrame:
-    """Diagonal ``(a, a)``: sum of ``c * (c - 1)`` over receipts with c > 1."""
-    return (b.where(F.col("c") > 1)
-            .groupBy("product")
-            .agg(F.sum(F.col("c") * (F.col("c") - 1)).alias("pair_count"))
-            .select(F.col("product").alias("p1"), F.col("product").alias("p2"), "pair_count"))
+def product_stats(b: DataFrame) -> DataFrame:
+    """One aggregation per product: ``product, occurrences, self_pairs``.
 
+    ``occurrences`` = sum of c; ``self_pairs`` = sum of c * (c - 1), the
+    diagonal pair count (a, a), computed without making a pair row.
+    """
+    return b.groupBy("product").agg(
+        F.sum("c").alias("occurrences"),
+        F.sum(F.col("c") * (F.col("c") - 1)).alias("self_pairs"))
 
-def pair_counts_from_basket(b: DataFrame, self_pairs: bool = True, form: str = "mirror",
-                            hot_items: int | None = HOT_ITEMS_DEFAULT) -> DataFrame:
-    """``(p1, p2, pair_count BIGINT)`` for every ordered pair that occurs."""
+
+def _diagonal(stats: DataFrame) -> DataFrame:
+    return stats.where(F.col("self_pairs") > 0).select(
+        F.col("product").alias("p1"), F.col("product").alias("p2"),
+        F.col("self_pairs").alias("pair_count"), "occurrences")
+
+
+def _off_diagonal(b: DataFrame, form: str, hot_items: int | None) -> DataFrame:
     if form not in ("mirror", "ordered"):
         raise ValueError(f"form must be 'mirror' or 'ordered', got {form!r}")
     ordered = form == "ordered"
     w = pair_weights(b, ordered=ordered, hot_items=hot_items)
     counts = w.groupBy("p1", "p2").agg(F.sum("w").alias("pair_count"))
-    if not ordered:
-        counts = _mirror(counts, "pair_count")
+    return counts if ordered else _mirror(counts, "pair_count")
+
+
+def pair_counts_from_basket(b: DataFrame, self_pairs: bool = True, form: str = "mirror",
+                            hot_items: int | None = HOT_ITEMS_DEFAULT) -> DataFrame:
+    """``(p1, p2, pair_count BIGINT)`` for every ordered pair that occurs."""
+    counts = _off_diagonal(b, form, hot_items)
     if self_pairs:
-        counts = counts.unionByName(self_pair_counts(b))
+        counts = counts.unionByName(_diagonal(product_stats(b)).drop("occurrences"))
     return counts
 
 
@@ -146,15 +158,13 @@ def pair_counts(items: DataFrame, self_pairs: bool = True, distinct_items: bool
     return pair_counts_from_basket(b, self_pairs and not distinct_items, form, hot_items)
 
 
-def occurrences_from_basket(b: DataFrame) -> DataFrame:
-    return b.groupBy("product").agg(F.sum("c").alias("occurrences"))
-
-
 def product_occurrences(items: DataFrame, distinct_items: bool = False) -> DataFrame:
     """Items per product (``distinct_items=True``: receipts per product)."""
     if distinct_items:
-        return occurrences_from_basket(basket(items.select("rid", "product"), True))
-    return items.groupBy("product").agg(F.count(F.lit(1)).alias("occurrences"))
+        b = basket(items.select("rid", "product"), True)
+        return b.groupBy("product").agg(F.sum("c").alias("occurrences"))
+    return (items.where(F.col("product").isNotNull())
+            .groupBy("product").agg(F.count(F.lit(1)).alias("occurrences")))
 
 
 def receipt_total(receipts: DataFrame) -> DataFrame:
@@ -170,12 +180,19 @@ def pair_rules(items: DataFrame, receipts: DataFrame, self_pairs: bool = True,
     Returns ``p1, p2, pair_count BIGINT, support DOUBLE, confidence DOUBLE``
     (ratios, not percentages).  ``receipts`` has one row per receipt and
     gives the support denominator; it may include item-less receipts.
+
+    Plan: the basket is shuffled once by (rid, product) and that shuffle is
+    reused by the pair join and by the per-product aggregate; the per-product
+    table (one row per product) joins the pair counts on p1; the one-row
+    receipt total is broadcast.
     """
     b = basket(items.select("rid", "product"), distinct_items)
-    pairs = pair_counts_from_basket(b, self_pairs and not distinct_items, form, hot_items)
-    occ = occurrences_from_basket(b).withColumnRenamed("product", "p1")
-    total = receipt_total(receipts)
-    rules = pairs.join(occ, "p1").crossJoin(F.broadcast(total))
+    stats = product_stats(b)
+    occ = stats.select(F.col("product").alias("p1"), "occurrences")
+    rules = _off_diagonal(b, form, hot_items).join(occ, "p1")
+    if self_pairs and not distinct_items:
+        rules = rules.unionByName(_diagonal(stats))
+    rules = rules.crossJoin(F.broadcast(receipt_total(receipts)))
     return rules.select(
         "p1", "p2", "pair_count",
         (F.col("pair_count").cast("double") / F.col("receipts")).alias("support"),
