@@ -18,8 +18,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# The columns each adapter reads, with the types of the test
+# tables.  Declaring them skips the schema-inference job of every read and
+# prunes the scan to these columns.
+COLUMNS = {
+    "orders": "o_orderkey BIGINT, o_orderdate TIMESTAMP_NTZ",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT",
+    "part": "p_partkey BIGINT, p_name STRING, p_retailprice DOUBLE",
+    "events": "user_id BIGINT, ts TIMESTAMP_NTZ, event_type STRING",
+}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, typed: bool = True) -> DataFrame:
+    """Read one Parquet test table; ``typed`` reads only the declared columns."""
+    reader = spark.read
+    if typed and name in COLUMNS:
+        reader = reader.schema(COLUMNS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread_rows(df: DataFrame) -> DataFrame:
+    """Hash-spread a scan that has fewer splits than the session has cores.
+
+    A Parquet file is split by row groups; a file with one large row group
+    is read by one task, and everything up to the first shuffle (joins,
+    partial aggregation) would run in that task.  Only in that case the
+    rows are hash-partitioned on all their columns right after the scan:
+    deterministic on retry (no sort needed, unlike round robin) and
+    matching no later grouping, so the later shuffles of the plan, which
+    are computed once and reused by all its branches, stay as they are.  A
+    scan with enough splits, as at scale, is returned unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *df.columns)
 
 
 def order_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +68,7 @@ def order_items(spark: SparkSession, sf_dir: str, product: str = "name") -> Data
     key as text.  Items of orders that do not exist are not receipt items
     (inner join with ``orders``).
     """
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    lines = spread_rows(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     items = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
     if product == "name":
@@ -65,7 +98,7 @@ def _event_basket_id() -> F.Column:
 
 def event_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as baskets: receipt = (user, day), item = event type."""
-    ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_type")
+    ev = spread_rows(table(spark, sf_dir, "events").select("user_id", "ts", "event_type"))
     return ev.select(_event_basket_id().alias("rid"), F.col("ts").alias("data"),
                      F.col("event_type").alias("product"))
 
