@@ -128,12 +128,34 @@ def render_revenue_slash(revenue: DataFrame) -> DataFrame:
 
 
 def render_revenue_array(revenue: DataFrame) -> DataFrame:
-    """``(product, ARRAY<'MM-yyyy:total'>)``, the entries sorted by month."""
-    lst = revenue.groupBy("product").agg(_month_entries(
-        revenue, "MM-yyyy", F.col("total").cast("string"), ":").alias("entries"))
+    """``(product, ARRAY<'MM-yyyy:total'>)``: a set of entries (equal entries
+    collapse, as with ``collect_set``), sorted by month."""
+    entry = F.when(F.col("month").isNotNull() & F.col("total").isNotNull(), F.struct(
+        F.col("month").alias("m"),
+        F.concat(month_label(F.col("month"), "MM-yyyy"), F.lit(":"), F.col("total").cast("string")).alias("t")))
+    lst = revenue.groupBy("product").agg(F.sort_array(F.collect_set(entry)).alias("entries"))
     return lst.select("product", F.transform("entries", lambda e: e["t"]).alias("month_total"))
 
 
+def parse_month_list(lines: DataFrame, col: str = "line") -> DataFrame:
+    """Parse ``prod<TAB>MM/yyyy:total MM/yyyy:total `` text back into rows.
+
+    Returns ``product, month ('yyyy-MM'), total DECIMAL(22,2)``; a product
+    with an empty list gives no row.  The product is split off at the tab,
+    each entry at its last ``:``.
+    """
+    kv = F.split(F.col(col), "\t", 2)
+    entries = lines.select(F.get(kv, 0).alias("product"),
+                           F.explode(F.split(F.trim(F.get(kv, 1)), " ")).alias("e"))
+    entries = entries.where(F.col("e") != "")
+    label = F.regexp_extract("e", r"^(.*):([^:]*)$", 1)
+    return entries.select(
+        "product",
+        F.concat(F.substring(label, 4, 4), F.lit("-"), F.substring(label, 1, 2)).alias("month"),
+        F.regexp_extract("e", r"^(.*):([^:]*)$", 2).cast("decimal(22,2)").alias("total"),
+    )
+
+
 def render_rules_decimal(rules: DataFrame) -> DataFrame:
     """``(p1,p2,ss.ss,cc.cc)``: percentages with two decimals, no sign."""
     line = F.concat(F.lit("("), F.col("p1"), F.lit(","), F.col("p2"), F.lit(","),

@@ -196,6 +196,21 @@ SELECT 'total' AS tag, CAST(NULL AS VARCHAR) AS p1, CAST(NULL AS VARCHAR) AS p2,
        CAST(CAST(p_retailprice AS DECIMAL(12,2)) * 100 AS BIGINT) AS price_cents
 FROM part""",
     "table_overwrite": PRICE_DEDUP_SQL,
+    "packed_revenue_parse": f"""WITH {ITEMS_BY_PARTKEY}, {PRICES_BY_PARTKEY}, {REVENUE}
+SELECT product, month, CAST(total * 100 AS BIGINT) AS total_cents FROM rev WHERE price <> 0""",
+    "rules_text_sink": f"""WITH {ITEMS_BY_NAME}, {_rules(PAIRS_POSITIONAL)}
+SELECT p1 || ',' || p2 || chr(9) || printf('%.1f%%', support * 100) || ', ' || printf('%.1f%%', confidence * 100) AS line
+FROM rules""",
+    "hive_top5_sql": f"""WITH {ITEMS_BY_NAME}, {TOP5}
+SELECT month,
+       max(CASE WHEN rk = 1 THEN product || ' ' || CAST(units AS VARCHAR) || ', ' END) AS top1,
+       max(CASE WHEN rk = 2 THEN product || ' ' || CAST(units AS VARCHAR) || ', ' END) AS top2,
+       max(CASE WHEN rk = 3 THEN product || ' ' || CAST(units AS VARCHAR) || ', ' END) AS top3,
+       max(CASE WHEN rk = 4 THEN product || ' ' || CAST(units AS VARCHAR) || ', ' END) AS top4,
+       max(CASE WHEN rk = 5 THEN product || ' ' || CAST(units AS VARCHAR) || ', ' END) AS top5
+FROM top GROUP BY month""",
+    "hive_revenue_sql": f"""WITH {ITEMS_BY_PARTKEY}, {PRICES_BY_PARTKEY}, {REVENUE}
+SELECT product, month, units, CAST(total * 100 AS BIGINT) AS total_cents FROM rev""",
     "receipt_ids": """SELECT count(*) AS receipts, count(*) AS distinct_ids,
        count(*) AS max_number, count(*) AS distinct_numbers FROM orders""",
 }

@@ -16,8 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.dates import month_key, month_label
+from tillroll.functions.formats import percent1
 from tillroll.functions.tokens import drop_empty, split_tokens
 from tillroll.operators import ids, items as it, render, revenue, rules, top_products
+from tillroll.plans import hive_sql
 from tillroll.session import scratch_path
 from tillroll.sources import prices as pr
 from tillroll.sources import receipts as rc
@@ -234,6 +236,31 @@ def q_table_overwrite(spark, sf):
     return back.select("product", _cents("price").alias("price_cents"))
 
 
+def q_packed_revenue_parse(spark, sf):
+    text = render.render_revenue_slash(_revenue(spark, sf, how="full", zero_is_missing=True))
+    back = render.parse_month_list(text)
+    return back.select("product", "month", _cents("total").alias("total_cents"))
+
+
+def q_rules_text_sink(spark, sf):
+    rules_ = _rules(spark, sf)
+    kv = rules_.select(F.concat_ws(",", "p1", "p2").alias("k"),
+                       F.concat(percent1("support"), F.lit(", "), percent1("confidence")).alias("v"))
+    path = scratch_path(spark, "rules-kv")
+    sinks.write_key_value(kv, path, "k", "v")
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+def q_hive_top5_sql(spark, sf):
+    return hive_sql.top_columns_sql(spark, tables.order_receipt_arrays(spark, sf, "name")
+                                    .withColumnRenamed("products", "list"))
+
+
+def q_hive_revenue_sql(spark, sf):
+    receipts = tables.order_receipt_arrays(spark, sf, "partkey").withColumnRenamed("products", "list")
+    return hive_sql.revenue_sql(spark, receipts, tables.part_prices(spark, sf, "partkey"))
+
+
 def q_receipt_ids(spark, sf):
     orders = tables.order_receipts(spark, sf)
     with_ids = ids.with_random_id(orders, "uid", via="reflect")
@@ -290,4 +317,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "price_text_roundtrip": q_price_text_roundtrip,
     "table_overwrite": q_table_overwrite,
     "receipt_ids": q_receipt_ids,
+    "packed_revenue_parse": q_packed_revenue_parse,
+    "rules_text_sink": q_rules_text_sink,
+    "hive_top5_sql": q_hive_top5_sql,
+    "hive_revenue_sql": q_hive_revenue_sql,
 }
