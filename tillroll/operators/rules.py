@@ -130,8 +130,24 @@ def _off_diagonal(b: DataFrame, form: str, hot_items: int | None) -> DataFrame:
     if form not in ("mirror", "ordered"):
         raise ValueError(f"form must be 'mirror' or 'ordered', got {form!r}")
     ordered = form == "ordered"
-    w = pair_weights(b, ordered=ordered, hot_items=hot_items)
-    counts = w.groupBy("p1", "p2").agg(F.sum("w").alias("pair_count"))
+
+    def summed(w: DataFrame) -> DataFrame:
+        return w.groupBy("p1", "p2").agg(F.sum("w").alias("pair_count"))
+
+    if hot_items is None:
+        counts = summed(_plain_pairs(b, ordered))
+    else:
+        if hot_items < 1:
+            raise ValueError("hot_items must be >= 1")
+        # plain and hot receipts are summed apart, then the two small
+        # per-pair tables are added: the plain join never waits for the
+        # hot-receipt branch
+        sized = b.withColumn("d", F.count(F.lit(1)).over(Window.partitionBy("rid")))
+        plain = summed(_plain_pairs(sized.where(F.col("d") <= hot_items).select("rid", "product", "c"), ordered))
+        grid = _grid_pairs(sized.where(F.col("d") > hot_items), hot_items)
+        grid = summed(_mirror(grid, "w") if ordered else grid)
+        counts = (plain.unionByName(grid).groupBy("p1", "p2")
+                  .agg(F.sum("pair_count").alias("pair_count")))
     return counts if ordered else _mirror(counts, "pair_count")
 
 
