@@ -164,11 +164,16 @@ FROM rev GROUP BY product""",
     "pair_counts": PAIR_COUNTS_SQL,
     "pair_counts_mirror": PAIR_COUNTS_SQL,
     "pair_counts_selfjoin": f"WITH {ITEMS_BY_NAME}, {PAIRS_BY_NAME} SELECT p1, p2, pair_count FROM pc",
+    "pair_counts_events_grid": f"""WITH items AS (
+    SELECT CAST(user_id AS VARCHAR) || '|' || strftime(ts, '%Y-%m-%d') AS rid, event_type AS product FROM events),
+{PAIRS_POSITIONAL}
+SELECT p1, p2, pair_count FROM pc""",
     "pair_counts_events": f"""WITH items AS (
     SELECT CAST(user_id AS VARCHAR) || '|' || strftime(ts, '%Y-%m-%d') AS rid, event_type AS product FROM events),
 {PAIRS_POSITIONAL}
 SELECT p1, p2, pair_count FROM pc""",
     "pair_rules": RULES_SQL,
+    "pair_rules_grid": RULES_SQL,
     "pair_rules_distinct": f"""WITH {ITEMS_BY_NAME}, {_rules(PAIRS_DISTINCT, 'dist')}
 SELECT p1, p2, pair_count, support, confidence FROM rules""",
     "pair_rules_pct1": f"""WITH {ITEMS_BY_NAME}, {_rules(PAIRS_POSITIONAL)}

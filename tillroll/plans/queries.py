@@ -181,6 +181,20 @@ def q_pair_rules_raw_percent(spark, sf):
     return render.render_rules_raw(_rules(spark, sf, self_pairs=False), places=6)
 
 
+GRID_HOT_ITEMS = 3  # receipts with more than 3 distinct items take the bucket grid
+
+
+def q_pair_rules_grid(spark, sf):
+    """Pair rules with every receipt above 3 distinct items sent through the
+    hot-receipt bucket grid (the path a huge receipt takes)."""
+    return _rules(spark, sf, hot_items=GRID_HOT_ITEMS)
+
+
+def q_pair_counts_events_grid(spark, sf):
+    """Event baskets, with baskets above 3 distinct types in the bucket grid."""
+    return rules.pair_counts(tables.event_items(spark, sf), hot_items=GRID_HOT_ITEMS)
+
+
 def q_one_pass_counts(spark, sf):
     return rules.tagged_counts(_name_items(spark, sf), tables.order_receipts(spark, sf))
 
@@ -309,6 +323,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pair_rules_pct1": q_pair_rules_pct1,
     "pair_rules_pct2": q_pair_rules_pct2,
     "pair_rules_raw_percent": q_pair_rules_raw_percent,
+    "pair_rules_grid": q_pair_rules_grid,
+    "pair_counts_events_grid": q_pair_counts_events_grid,
     "one_pass_counts": q_one_pass_counts,
     "receipt_text_roundtrip": q_receipt_text_roundtrip,
     "receipt_colon_roundtrip": q_receipt_colon_roundtrip,
