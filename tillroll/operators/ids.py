@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.session import scratch_root
+
 
 def with_random_id(df: DataFrame, name: str = "id", via: str = "uuid") -> DataFrame:
     """Prepend a random id column (star projection plus one column).
@@ -31,6 +33,7 @@ def with_row_number(df: DataFrame, order_cols: list[str], name: str = "id") -> D
     The offsets table has one row per partition, so broadcasting it is
     bounded by the partition count, not by the data.
     """
+    scratch_root(df.sparkSession)  # the session's checkpoint folder (set only if unset)
     cols = [F.col(c) for c in order_cols]
     ordered = df.repartitionByRange(*cols).sortWithinPartitions(*cols).checkpoint(eager=True)
     tagged = ordered.select("*", F.spark_partition_id().alias("_part"),
