@@ -283,3 +283,11 @@ def test_dense_row_numbers(spark):
 def test_random_ids(spark):
     df = tr.with_random_id(spark.range(50), "uid", via="reflect")
     assert df.columns == ["uid", "id"] and df.select("uid").distinct().count() == 50
+
+
+def test_stepwise_rules_equal_one_plan(small):
+    items = tr.explode_items(small)
+    got = _rules_dict(tr.pair_rules_stepwise(items, small, buckets=4))
+    assert got == EXPECTED_RULES
+    got_hot = _rules_dict(tr.pair_rules_stepwise(items, small, buckets=3, hot_items=1))
+    assert got_hot == EXPECTED_RULES

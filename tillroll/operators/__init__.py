@@ -24,6 +24,7 @@ from tillroll.operators.rules import (
     receipt_total,
     tagged_counts,
 )
+from tillroll.operators.stepwise import pair_rules_stepwise
 from tillroll.operators.top_products import (
     monthly_counts,
     monthly_counts_sum_of_ones,
@@ -38,5 +39,5 @@ __all__ = [
     "render_top_columns", "render_top_line", "render_top_tuple", "dedup_prices",
     "monthly_revenue", "product_month_counts", "pair_counts", "pair_rules",
     "product_occurrences", "receipt_total", "tagged_counts", "monthly_counts",
-    "monthly_counts_sum_of_ones", "monthly_top_products", "top_k",
+    "monthly_counts_sum_of_ones", "monthly_top_products", "top_k", "pair_rules_stepwise",
 ]

@@ -174,6 +174,7 @@ SELECT p1, p2, pair_count FROM pc""",
 SELECT p1, p2, pair_count FROM pc""",
     "pair_rules": RULES_SQL,
     "pair_rules_grid": RULES_SQL,
+    "pair_rules_stepwise": RULES_SQL,
     "pair_rules_distinct": f"""WITH {ITEMS_BY_NAME}, {_rules(PAIRS_DISTINCT, 'dist')}
 SELECT p1, p2, pair_count, support, confidence FROM rules""",
     "pair_rules_pct1": f"""WITH {ITEMS_BY_NAME}, {_rules(PAIRS_POSITIONAL)}

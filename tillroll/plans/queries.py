@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tillroll.functions.dates import month_key, month_label
 from tillroll.functions.formats import percent1
 from tillroll.functions.tokens import drop_empty, split_tokens
-from tillroll.operators import ids, items as it, render, revenue, rules, top_products
+from tillroll.operators import ids, items as it, render, revenue, rules, stepwise, top_products
 from tillroll.plans import hive_sql
 from tillroll.session import scratch_path
 from tillroll.sources import prices as pr
@@ -195,6 +195,11 @@ def q_pair_counts_events_grid(spark, sf):
     return rules.pair_counts(tables.event_items(spark, sf), hot_items=GRID_HOT_ITEMS)
 
 
+def q_pair_rules_stepwise(spark, sf):
+    """Pair rules with every step written as a table, the basket bucketed by receipt."""
+    return stepwise.pair_rules_stepwise(_name_items(spark, sf), tables.order_receipts(spark, sf))
+
+
 def q_one_pass_counts(spark, sf):
     return rules.tagged_counts(_name_items(spark, sf), tables.order_receipts(spark, sf))
 
@@ -325,6 +330,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pair_rules_raw_percent": q_pair_rules_raw_percent,
     "pair_rules_grid": q_pair_rules_grid,
     "pair_counts_events_grid": q_pair_counts_events_grid,
+    "pair_rules_stepwise": q_pair_rules_stepwise,
     "one_pass_counts": q_one_pass_counts,
     "receipt_text_roundtrip": q_receipt_text_roundtrip,
     "receipt_colon_roundtrip": q_receipt_colon_roundtrip,
