@@ -24,9 +24,12 @@ How it runs:
    ``s = ceil(d / hot_items)`` buckets and the join key becomes
    ``(rid, bucket_i, bucket_j)`` over the upper triangle ``i <= j``, so
    one receipt's pairs spread over ``s (s + 1) / 2`` join groups of about
-   ``hot_items`` squared candidate pairs each, instead of one task.
-5. Receipt total and per-product occurrences are plain aggregates; the
-   one-row total is the only broadcast (its size is one row).
+   ``hot_items`` squared candidate pairs each, instead of one task.  Plain
+   and hot receipts are summed apart and the two per-pair tables added, so
+   the plain join never waits for the hot branch.
+5. Receipt total and per-product occurrences are plain aggregates.  The
+   one-row total carries the only broadcast hint; any other broadcast is
+   the optimizer's choice from a measured size.
 """
 
 from __future__ import annotations
@@ -99,14 +102,22 @@ def pair_weights(b: DataFrame, ordered: bool = False,
     """
     if hot_items is None:
         return _plain_pairs(b, ordered)
+    normal, hot = _split_hot(b, hot_items)
+    grid = _grid_pairs(hot, hot_items)
+    return _plain_pairs(normal, ordered).unionByName(_mirror(grid, "w") if ordered else grid)
+
+
+def _split_hot(b: DataFrame, hot_items: int):
+    """Receipts with at most / more than ``hot_items`` distinct items.
+
+    ``d`` is a count over the receipt's rows (a window on ``rid``, which
+    shares the sort the self-join needs anyway).
+    """
     if hot_items < 1:
         raise ValueError("hot_items must be >= 1")
     sized = b.withColumn("d", F.count(F.lit(1)).over(Window.partitionBy("rid")))
-    plain = _plain_pairs(sized.where(F.col("d") <= hot_items).select("rid", "product", "c"), ordered)
-    grid = _grid_pairs(sized.where(F.col("d") > hot_items), hot_items)
-    if ordered:
-        grid = _mirror(grid, "w")
-    return plain.unionByName(grid)
+    normal = sized.where(F.col("d") <= hot_items).select("rid", "product", "c")
+    return normal, sized.where(F.col("d") > hot_items)
 
 
 def product_stats(b: DataFrame) -> DataFrame:
@@ -137,14 +148,12 @@ def _off_diagonal(b: DataFrame, form: str, hot_items: int | None) -> DataFrame:
     if hot_items is None:
         counts = summed(_plain_pairs(b, ordered))
     else:
-        if hot_items < 1:
-            raise ValueError("hot_items must be >= 1")
         # plain and hot receipts are summed apart, then the two small
         # per-pair tables are added: the plain join never waits for the
         # hot-receipt branch
-        sized = b.withColumn("d", F.count(F.lit(1)).over(Window.partitionBy("rid")))
-        plain = summed(_plain_pairs(sized.where(F.col("d") <= hot_items).select("rid", "product", "c"), ordered))
-        grid = _grid_pairs(sized.where(F.col("d") > hot_items), hot_items)
+        normal, hot = _split_hot(b, hot_items)
+        plain = summed(_plain_pairs(normal, ordered))
+        grid = _grid_pairs(hot, hot_items)
         grid = summed(_mirror(grid, "w") if ordered else grid)
         counts = (plain.unionByName(grid).groupBy("p1", "p2")
                   .agg(F.sum("pair_count").alias("pair_count")))
