@@ -78,3 +78,34 @@ def test_top_k_and_monthly_units(spark, receipts, k):
     assert got == sorted(expect)
     total = sum(r.units for r in tr.monthly_counts(items).collect())
     assert total == sum(len(p) for _, p in receipts)
+
+
+PRICE_ROWS = st.lists(st.tuples(PRODUCTS, st.sampled_from(["0", "1", "2.5", "3"])), max_size=8)
+
+
+@SETTINGS
+@given(RECEIPTS, PRICE_ROWS, st.sampled_from(["inner", "full"]), st.booleans(), st.sampled_from([None, "max"]))
+def test_revenue_equals_brute_force(spark, receipts, price_rows, how, zero_missing, dedup):
+    from decimal import Decimal
+    _, items = frames(spark, receipts)
+    prices = spark.createDataFrame([(p, Decimal(v)) for p, v in price_rows], "product string, price decimal(12,2)")
+    got = sorted((r.product, r.month, r.units, r.total)
+                 for r in tr.monthly_revenue(items, prices, how=how, zero_is_missing=zero_missing, dedup=dedup).collect())
+    units = Counter((p, d[:7]) for d, its in receipts for p in its)
+    plist = [(p, Decimal(v)) for p, v in price_rows if not (zero_missing and Decimal(v) == 0)]
+    if dedup:
+        best = {}
+        for p, v in plist:
+            best[p] = max(best.get(p, v), v)
+        plist = list(best.items())
+    expect = []
+    for (p, m), n in units.items():
+        matches = [v for q, v in plist if q == p]
+        expect += [(p, m, n, (n * v).quantize(Decimal("0.01"))) for v in matches]
+        if how == "full" and not matches:
+            expect.append((p, m, n, None))
+    if how == "full":
+        sold = {p for p, _ in units}
+        expect += [(p, None, None, None) for p, v in plist if p not in sold]
+    key = lambda t: tuple((x is None, str(x)) for x in t)
+    assert sorted(got, key=key) == sorted(expect, key=key)
