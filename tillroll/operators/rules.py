@@ -13,7 +13,8 @@ How it runs:
 
 1. ``basket``: copies collapse to ``(rid, product, c)``, aggregated map-side
    first, so a receipt made of copies costs one row per distinct item.
-2. The diagonal ``(a, a)`` is arithmetic on ``c``; no pair row is made.
+2. The diagonal ``(a, a)`` is arithmetic on ``c``, one ``c * (c - 1)`` row
+   per receipt with copies, summed with the other pairs.
 3. Distinct items are paired by a self-join of the basket on ``rid`` that
    keeps ``p1 < p2`` (every unordered pair once, weight ``c1 * c2``).  The
    weights are summed per pair (partial aggregation right after the join,
@@ -43,12 +44,12 @@ HOT_ITEMS_DEFAULT = 4096
 
 
 def _mirror(pairs: DataFrame, value: str) -> DataFrame:
-    """Unordered pairs ``p1 < p2`` -> both orders, in one narrow pass."""
-    both = F.array(
-        F.struct(F.col("p1").alias("p1"), F.col("p2").alias("p2"), F.col(value).alias(value)),
-        F.struct(F.col("p2").alias("p1"), F.col("p1").alias("p2"), F.col(value).alias(value)),
-    )
-    return pairs.select(F.inline(both))
+    """Unordered pairs ``p1 <= p2`` -> both orders, in one narrow pass
+    (a diagonal row ``p1 = p2`` stays one row)."""
+    same = F.struct(F.col("p1").alias("p1"), F.col("p2").alias("p2"), F.col(value).alias(value))
+    swapped = F.struct(F.col("p2").alias("p1"), F.col("p1").alias("p2"), F.col(value).alias(value))
+    rows = F.when(F.col("p1") == F.col("p2"), F.array(same)).otherwise(F.array(same, swapped))
+    return pairs.select(F.inline(rows))
 
 
 def _sides(b: DataFrame):
@@ -120,24 +121,25 @@ def _split_hot(b: DataFrame, hot_items: int):
     return normal, sized.where(F.col("d") > hot_items)
 
 
-def product_stats(b: DataFrame) -> DataFrame:
-    """One aggregation per product: ``product, occurrences, self_pairs``.
+def occurrences_from_basket(b: DataFrame) -> DataFrame:
+    """``product, occurrences`` (sum of c over receipts)."""
+    return b.groupBy("product").agg(F.sum("c").alias("occurrences"))
 
-    ``occurrences`` = sum of c; ``self_pairs`` = sum of c * (c - 1), the
-    diagonal pair count (a, a), computed without making a pair row.
-    """
-    return b.groupBy("product").agg(
-        F.sum("c").alias("occurrences"),
-        F.sum(F.col("c") * (F.col("c") - 1)).alias("self_pairs"))
 
+def _diagonal_weights(b: DataFrame) -> DataFrame:
+    """``(a, a, c * (c - 1))`` for every receipt holding c > 1 copies of a.
 
-def _diagonal(stats: DataFrame) -> DataFrame:
-    return stats.where(F.col("self_pairs") > 0).select(
+    Arithmetic on the copy count: no pair row is made for copies.  These
+    rows join the pair sums of the plain receipts (same aggregation), so the
+    diagonal needs no aggregate of its own.
+    """
+    return b.where(F.col("c") > 1).select(
         F.col("product").alias("p1"), F.col("product").alias("p2"),
-        F.col("self_pairs").alias("pair_count"), "occurrences")
+        (F.col("c") * (F.col("c") - 1)).alias("w"))
 
 
-def _off_diagonal(b: DataFrame, form: str, hot_items: int | None) -> DataFrame:
+def _pair_table(b: DataFrame, form: str, hot_items: int | None, self_pairs: bool) -> DataFrame:
+    """``(p1, p2, pair_count)`` for every ordered pair that occurs."""
     if form not in ("mirror", "ordered"):
         raise ValueError(f"form must be 'mirror' or 'ordered', got {form!r}")
     ordered = form == "ordered"
@@ -145,14 +147,17 @@ def _off_diagonal(b: DataFrame, form: str, hot_items: int | None) -> DataFrame:
     def summed(w: DataFrame) -> DataFrame:
         return w.groupBy("p1", "p2").agg(F.sum("w").alias("pair_count"))
 
+    def with_diagonal(w: DataFrame) -> DataFrame:
+        return w.unionByName(_diagonal_weights(b)) if self_pairs else w
+
     if hot_items is None:
-        counts = summed(_plain_pairs(b, ordered))
+        counts = summed(with_diagonal(_plain_pairs(b, ordered)))
     else:
         # plain and hot receipts are summed apart, then the two small
         # per-pair tables are added: the plain join never waits for the
         # hot-receipt branch
         normal, hot = _split_hot(b, hot_items)
-        plain = summed(_plain_pairs(normal, ordered))
+        plain = summed(with_diagonal(_plain_pairs(normal, ordered)))
         grid = _grid_pairs(hot, hot_items)
         grid = summed(_mirror(grid, "w") if ordered else grid)
         counts = (plain.unionByName(grid).groupBy("p1", "p2")
@@ -163,10 +168,7 @@ def _off_diagonal(b: DataFrame, form: str, hot_items: int | None) -> DataFrame:
 def pair_counts_from_basket(b: DataFrame, self_pairs: bool = True, form: str = "mirror",
                             hot_items: int | None = HOT_ITEMS_DEFAULT) -> DataFrame:
     """``(p1, p2, pair_count BIGINT)`` for every ordered pair that occurs."""
-    counts = _off_diagonal(b, form, hot_items)
-    if self_pairs:
-        counts = counts.unionByName(_diagonal(product_stats(b)).drop("occurrences"))
-    return counts
+    return _pair_table(b, form, hot_items, self_pairs)
 
 
 def pair_counts(items: DataFrame, self_pairs: bool = True, distinct_items: bool = False,
@@ -187,7 +189,7 @@ def product_occurrences(items: DataFrame, distinct_items: bool = False) -> DataF
     """Items per product (``distinct_items=True``: receipts per product)."""
     if distinct_items:
         b = basket(items.select("rid", "product"), True)
-        return b.groupBy("product").agg(F.sum("c").alias("occurrences"))
+        return occurrences_from_basket(b)
     return (items.where(F.col("product").isNotNull())
             .groupBy("product").agg(F.count(F.lit(1)).alias("occurrences")))
 
@@ -207,17 +209,14 @@ def pair_rules(items: DataFrame, receipts: DataFrame, self_pairs: bool = True,
     gives the support denominator; it may include item-less receipts.
 
     Plan: the basket is shuffled once by (rid, product) and that shuffle is
-    reused by the pair join and by the per-product aggregate; the per-product
-    table (one row per product) joins the pair counts on p1; the one-row
-    receipt total is broadcast.
+    reused by the pair join, the diagonal rows and the per-product
+    occurrences; the occurrences (one row per product) join the pair counts
+    on p1; the one-row receipt total is broadcast.
     """
     b = basket(items.select("rid", "product"), distinct_items)
-    stats = product_stats(b)
-    occ = stats.select(F.col("product").alias("p1"), "occurrences")
-    rules = _off_diagonal(b, form, hot_items).join(occ, "p1")
-    if self_pairs and not distinct_items:
-        rules = rules.unionByName(_diagonal(stats))
-    rules = rules.crossJoin(F.broadcast(receipt_total(receipts)))
+    occ = occurrences_from_basket(b).withColumnRenamed("product", "p1")
+    pairs = _pair_table(b, form, hot_items, self_pairs and not distinct_items)
+    rules = pairs.join(occ, "p1").crossJoin(F.broadcast(receipt_total(receipts)))
     return rules.select(
         "p1", "p2", "pair_count",
         (F.col("pair_count").cast("double") / F.col("receipts")).alias("support"),

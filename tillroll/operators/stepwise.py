@@ -4,7 +4,7 @@ Each step is a create-table-as-select under the session's shared checkpoint
 folder, read back by the next step:
 
 1. ``<prefix>_basket``: (rid, product, c), **bucketed and sorted by rid**;
-2. ``<prefix>_products``: occurrences and self pairs per product;
+2. ``<prefix>_products``: occurrences per product;
 3. ``<prefix>_receipts``: the number of receipts (one row);
 4. ``<prefix>_pairs``: pair counts, from the basket joined with itself;
 5. the rules, from the three small tables.
@@ -25,9 +25,8 @@ from pyspark.sql import functions as F
 from tillroll.operators.items import basket
 from tillroll.operators.rules import (
     HOT_ITEMS_DEFAULT,
-    _diagonal,
-    _off_diagonal,
-    product_stats,
+    _pair_table,
+    occurrences_from_basket,
     receipt_total,
 )
 from tillroll.session import scratch_path
@@ -55,14 +54,10 @@ def pair_rules_stepwise(items: DataFrame, receipts: DataFrame, buckets: int | No
     prefix = prefix or f"tillroll_q3_{uuid.uuid4().hex[:10]}"
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     b = _ctas(basket(items.select("rid", "product"), distinct_items), f"{prefix}_basket", buckets, "rid")
-    stats = _ctas(product_stats(b), f"{prefix}_products")
+    occ = _ctas(occurrences_from_basket(b), f"{prefix}_products")
     total = _ctas(receipt_total(receipts), f"{prefix}_receipts")
-    pairs = _ctas(_off_diagonal(b, "mirror", hot_items), f"{prefix}_pairs")
-    occ = stats.select(F.col("product").alias("p1"), "occurrences")
-    rules = pairs.join(occ, "p1")
-    if self_pairs and not distinct_items:
-        rules = rules.unionByName(_diagonal(stats))
-    rules = rules.crossJoin(F.broadcast(total))
+    pairs = _ctas(_pair_table(b, "mirror", hot_items, self_pairs and not distinct_items), f"{prefix}_pairs")
+    rules = pairs.join(occ.withColumnRenamed("product", "p1"), "p1").crossJoin(F.broadcast(total))
     return rules.select(
         "p1", "p2", "pair_count",
         (F.col("pair_count").cast("double") / F.col("receipts")).alias("support"),
