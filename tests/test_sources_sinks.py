@@ -46,3 +46,12 @@ def test_tables(spark):
     assert tr.read_table(spark, "t_prices").count() == 2
     tr.drop_table(spark, "t_prices")
     assert not spark.catalog.tableExists("t_prices")
+
+
+def test_spread_only_when_splits_are_few(spark):
+    from tillroll.sources.tables import spread_rows
+    cores = spark.sparkContext.defaultParallelism
+    few = spark.range(0, 100, 1, 1)
+    many = spark.range(0, 100, 1, cores)
+    assert spread_rows(few).rdd.getNumPartitions() == cores
+    assert spread_rows(many) is many
