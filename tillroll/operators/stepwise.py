@@ -30,7 +30,6 @@ from tillroll.operators.rules import (
     receipt_total,
 )
 from tillroll.session import scratch_path
-from tillroll.sources.sinks import save_table
 
 
 def _ctas(df: DataFrame, name: str, buckets: int | None = None, by: str | None = None) -> DataFrame:
@@ -64,5 +63,3 @@ def pair_rules_stepwise(items: DataFrame, receipts: DataFrame, buckets: int | No
         (F.col("pair_count").cast("double") / F.col("occurrences")).alias("confidence"),
     )
 
-
-__all__ = ["pair_rules_stepwise", "save_table"]
