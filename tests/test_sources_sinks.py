@@ -55,3 +55,17 @@ def test_spread_only_when_splits_are_few(spark):
     many = spark.range(0, 100, 1, cores)
     assert spread_rows(few).rdd.getNumPartitions() == cores
     assert spread_rows(many) is many
+
+
+def test_sorted_sink_writes_in_key_order(spark):
+    import glob
+    import os
+    out = scratch_path(spark, "sorted")
+    df = spark.range(0, 500, 1, 7).selectExpr("cast((id * 37) % 500 as string) as k", "id")
+    tr.write_key_value(df.selectExpr("lpad(k, 3, '0') as k", "id"), out, "k", "id", order_by=["k"])
+    lines = []
+    local = out[len("file:"):] if out.startswith("file:") else out
+    for f in sorted(glob.glob(os.path.join(local, "part-*"))):
+        lines += open(f).read().splitlines()
+    keys = [ln.split("\t")[0] for ln in lines]
+    assert keys == sorted(keys) and len(keys) == 500

@@ -11,15 +11,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_lines(df: DataFrame, path: str, col: str = "value") -> None:
-    """One text line per row from a STRING column (tuple text, rendered lines)."""
-    df.select(F.col(col).alias("value")).write.mode("overwrite").text(path)
+def _sorted(df: DataFrame, order_by: list[str] | None) -> DataFrame:
+    # a total order only at the sink: range partitioning + sort, so the part
+    # files are in key order (part-00000 holds the smallest keys)
+    return df.orderBy(*order_by) if order_by else df
 
 
-def write_key_value(df: DataFrame, path: str, key: str, value: str) -> None:
-    """``key<TAB>value`` lines."""
+def write_lines(df: DataFrame, path: str, col: str = "value",
+                order_by: list[str] | None = None) -> None:
+    """One text line per row from a STRING column (tuple text, rendered lines).
+
+    ``order_by`` writes the lines sorted by those columns.
+    """
+    _sorted(df, order_by).select(F.col(col).alias("value")).write.mode("overwrite").text(path)
+
+
+def write_key_value(df: DataFrame, path: str, key: str, value: str,
+                    order_by: list[str] | None = None) -> None:
+    """``key<TAB>value`` lines, optionally sorted by ``order_by``."""
     line = F.concat_ws("\t", F.col(key).cast("string"), F.coalesce(F.col(value).cast("string"), F.lit("")))
-    df.select(line.alias("value")).write.mode("overwrite").text(path)
+    _sorted(df, order_by).select(line.alias("value")).write.mode("overwrite").text(path)
 
 
 def save_table(df: DataFrame, name: str, path: str | None = None,
