@@ -92,8 +92,9 @@ def part_prices(spark: SparkSession, sf_dir: str, key: str = "partkey") -> DataF
 
 
 def _event_basket_id() -> F.Column:
-    return F.concat_ws("|", F.col("user_id").cast("string"),
-                       F.date_format(F.col("ts"), "yyyy-MM-dd"))
+    # composite receipt key (user, day) as a struct: no string formatting,
+    # compact in shuffles, usable in grouping, windows and joins
+    return F.struct(F.col("user_id").alias("user_id"), F.to_date(F.col("ts")).alias("day"))
 
 
 def event_items(spark: SparkSession, sf_dir: str) -> DataFrame:
