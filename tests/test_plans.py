@@ -42,12 +42,15 @@ def test_no_python_evaluation(spark, name):
         assert marker not in text
 
 
-def test_only_one_row_broadcast_is_forced(spark):
-    # a broadcast hint appears only on the one-row receipt total
-    optimized = QUERIES["pair_rules"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
-    hinted = re.findall(r"[Hh]int=\(strategy=broadcast\)", optimized)
-    assert len(hinted) == 1, optimized
-    assert re.search(r"Join Cross, rightHint=\(strategy=broadcast\)", optimized)
+@pytest.mark.parametrize("name", ["pair_rules", "pair_rules_stepwise", "one_pass_counts", "monthly_revenue"])
+def test_no_cross_join_and_no_broadcast_hint(spark, name):
+    df = QUERIES[name](spark, SF)
+    optimized = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in optimized
+    assert "Join Cross" not in optimized
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" not in final and "CartesianProduct" not in final
 
 
 def test_dense_numbering_uses_no_global_window_on_data(spark):

@@ -29,8 +29,9 @@ How it runs:
    and hot receipts are summed apart and the two per-pair tables added, so
    the plain join never waits for the hot branch.
 5. Receipt total and per-product occurrences are plain aggregates.  The
-   one-row total carries the only broadcast hint; any other broadcast is
-   the optimizer's choice from a measured size.
+   total enters the ratios as a scalar subquery; no join carries a
+   broadcast hint, any broadcast is the optimizer's choice from a measured
+   size.
 """
 
 from __future__ import annotations
@@ -211,15 +212,24 @@ def pair_rules(items: DataFrame, receipts: DataFrame, self_pairs: bool = True,
     Plan: the basket is shuffled once by (rid, product) and that shuffle is
     reused by the pair join, the diagonal rows and the per-product
     occurrences; the occurrences (one row per product) join the pair counts
-    on p1; the one-row receipt total is broadcast.
+    on p1; the receipt total is a scalar subquery (no join).
     """
     b = basket(items.select("rid", "product"), distinct_items)
     occ = occurrences_from_basket(b).withColumnRenamed("product", "p1")
     pairs = _pair_table(b, form, hot_items, self_pairs and not distinct_items)
-    rules = pairs.join(occ, "p1").crossJoin(F.broadcast(receipt_total(receipts)))
-    return rules.select(
+    return with_ratios(pairs.join(occ, "p1"), receipt_total(receipts))
+
+
+def with_ratios(pairs: DataFrame, total: DataFrame) -> DataFrame:
+    """Support and confidence from ``p1, p2, pair_count, occurrences``.
+
+    The receipt count (a one-row aggregate) enters as a scalar subquery:
+    computed once, used as a value, no join.
+    """
+    n = total.select(F.col("receipts").cast("double")).scalar()
+    return pairs.select(
         "p1", "p2", "pair_count",
-        (F.col("pair_count").cast("double") / F.col("receipts")).alias("support"),
+        (F.col("pair_count").cast("double") / n).alias("support"),
         (F.col("pair_count").cast("double") / F.col("occurrences")).alias("confidence"),
     )
 

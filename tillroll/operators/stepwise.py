@@ -20,7 +20,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tillroll.operators.items import basket
 from tillroll.operators.rules import (
@@ -28,6 +27,7 @@ from tillroll.operators.rules import (
     _pair_table,
     occurrences_from_basket,
     receipt_total,
+    with_ratios,
 )
 from tillroll.session import scratch_path
 
@@ -56,10 +56,5 @@ def pair_rules_stepwise(items: DataFrame, receipts: DataFrame, buckets: int | No
     occ = _ctas(occurrences_from_basket(b), f"{prefix}_products")
     total = _ctas(receipt_total(receipts), f"{prefix}_receipts")
     pairs = _ctas(_pair_table(b, "mirror", hot_items, self_pairs and not distinct_items), f"{prefix}_pairs")
-    rules = pairs.join(occ.withColumnRenamed("product", "p1"), "p1").crossJoin(F.broadcast(total))
-    return rules.select(
-        "p1", "p2", "pair_count",
-        (F.col("pair_count").cast("double") / F.col("receipts")).alias("support"),
-        (F.col("pair_count").cast("double") / F.col("occurrences")).alias("confidence"),
-    )
+    return with_ratios(pairs.join(occ.withColumnRenamed("product", "p1"), "p1"), total)
 
