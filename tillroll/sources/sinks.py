@@ -1,8 +1,8 @@
 """Text and table sinks, and table management.
 
 Every write replaces its target (``mode('overwrite')``), on any file system
-Spark can write, so a rerun never fails on an existing output and a retried
-task never duplicates rows.
+Spark can write, so a rerun never fails on an existing output; Spark's
+output commit protocol keeps a retried task from adding rows twice.
 """
 
 from __future__ import annotations

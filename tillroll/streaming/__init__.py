@@ -2,8 +2,5 @@
 
 The receipt questions are batch questions: the original work declares a
 streaming dependency but has no stream, watermark or state anywhere, so
-there is nothing stream-specific to rebuild.  The operators of this library
-are plain DataFrame transformations; the aggregations of Q1 and Q2 are also
-valid on a streaming DataFrame (``readStream.text``) with ``complete``
-output mode if a caller needs that, without extra code here.
+nothing stream-specific is rebuilt and this package holds no code.
 """
