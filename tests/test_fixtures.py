@@ -291,3 +291,30 @@ def test_stepwise_rules_equal_one_plan(small):
     assert got == EXPECTED_RULES
     got_hot = _rules_dict(tr.pair_rules_stepwise(items, small, buckets=3, hot_items=1))
     assert got_hot == EXPECTED_RULES
+
+
+def test_hot_receipt_pairs_spread_over_many_tasks(spark):
+    from tillroll.operators.rules import _grid_pairs
+    n = 600
+    hot = spark.range(n).select(F.lit(1).cast("bigint").alias("rid"),
+                                F.format_string("p%04d", "id").alias("product"),
+                                F.lit(1).cast("bigint").alias("c"),
+                                F.lit(n).cast("bigint").alias("d"))
+    pairs = _grid_pairs(hot, 64)  # 10 buckets -> 55 blocks of one receipt
+    # a huge receipt is joined by shuffle on (rid, bucket_i, bucket_j); force
+    # that here (no broadcast of this tiny input, no merging of partitions)
+    confs = {"spark.sql.adaptive.coalescePartitions.enabled": "false",
+             "spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        per_task = [r["n"] for r in pairs.groupBy(F.spark_partition_id().alias("t"))
+                    .agg(F.count(F.lit(1)).alias("n")).collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(per_task) == n * (n - 1) // 2
+    assert len(per_task) >= 6                     # not one task
+    assert max(per_task) < 0.5 * sum(per_task)    # no task holds most of the receipt
