@@ -25,7 +25,10 @@ How it runs:
    ``s = ceil(d / hot_items)`` buckets and the join key becomes
    ``(rid, bucket_i, bucket_j)`` over the upper triangle ``i <= j``, so
    one receipt's pairs spread over ``s (s + 1) / 2`` join groups of about
-   ``hot_items`` squared candidate pairs each, instead of one task.  Plain
+   ``hot_items`` squared candidate pairs each, instead of one task.  The
+   threshold also bounds what a sort-merge join buffers per key: at most
+   ``hot_items`` rows of one receipt on the plain path, about that many
+   per block side in the grid.  Plain
    and hot receipts are summed apart and the two per-pair tables added, so
    the plain join never waits for the hot branch.
 5. Receipt total and per-product occurrences are plain aggregates.  The
