@@ -28,9 +28,9 @@ How it runs:
    ``hot_items`` squared candidate pairs each, instead of one task.  The
    threshold also bounds what a sort-merge join buffers per key: at most
    ``hot_items`` rows of one receipt on the plain path, about that many
-   per block side in the grid.  Plain
-   and hot receipts are summed apart and the two per-pair tables added, so
-   the plain join never waits for the hot branch.
+   per block side in the grid.  Plain and hot receipts are summed apart
+   and the two per-pair tables added, so the plain join never waits for
+   the hot branch.
 5. Receipt total and per-product occurrences are plain aggregates.  The
    total enters the ratios as a scalar subquery; no join carries a
    broadcast hint, any broadcast is the optimizer's choice from a measured
