@@ -109,3 +109,23 @@ def test_revenue_equals_brute_force(spark, receipts, price_rows, how, zero_missi
         expect += [(p, None, None, None) for p, v in plist if p not in sold]
     key = lambda t: tuple((x is None, str(x)) for x in t)
     assert sorted(got, key=key) == sorted(expect, key=key)
+
+
+def test_distinct_pairs_equal_fpgrowth(spark):
+    """Cross-check with Spark ML's FP-growth on distinct-item baskets (sf0.001)."""
+    from pyspark.ml.fpm import FPGrowth
+    from pyspark.sql import functions as F
+
+    from tillroll.sources import tables
+    items = tables.order_items(spark, "/root/testdata/sf0.001", "name")
+    baskets = items.groupBy("rid").agg(F.collect_set("product").alias("items"))
+    n = baskets.count()
+    fp = FPGrowth(itemsCol="items", minSupport=0.5 / n, minConfidence=0.0).fit(baskets)
+    pairs2 = fp.freqItemsets.where(F.size("items") == 2).collect()
+    expect = {}
+    for r in pairs2:
+        a, b = r["items"]
+        expect[(a, b)] = r["freq"]
+        expect[(b, a)] = r["freq"]
+    got = {(r.p1, r.p2): r.pair_count for r in tr.pair_counts(items, distinct_items=True).collect()}
+    assert got == expect
