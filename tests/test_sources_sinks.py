@@ -49,7 +49,7 @@ def test_tables(spark):
 
 
 def test_spread_only_when_splits_are_few(spark):
-    from tillroll.sources.tables import spread_rows
+    from tillroll.sources.layout import spread_rows
     cores = spark.sparkContext.defaultParallelism
     few = spark.range(0, 100, 1, 1)
     many = spark.range(0, 100, 1, cores)

@@ -20,16 +20,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.tokens import drop_empty, items_after_date, split_tokens
+from tillroll.sources.layout import spread_rows
 
 
 def _finish(lines: DataFrame, data, products, keep_empty: bool) -> DataFrame:
     if not keep_empty:
         products = drop_empty(products)
-    return lines.select(
+    # the id is fixed by the input splits, before any spreading
+    return spread_rows(lines.select(
         F.monotonically_increasing_id().alias("rid"),
         data.alias("data"),
         products.alias("products"),
-    )
+    ))
 
 
 def parse_comma_lines(lines: DataFrame, keep_empty: bool = False,
@@ -65,11 +67,11 @@ def read_receipts_unsplit(spark: SparkSession, path: str) -> DataFrame:
     :func:`tillroll.functions.split_tokens`.
     """
     halves = F.split(F.col("value"), ":", 2)
-    return spark.read.text(path).select(
+    return spread_rows(spark.read.text(path).select(
         F.monotonically_increasing_id().alias("rid"),
         F.get(halves, 0).try_cast("date").alias("data"),
         F.get(halves, 1).alias("products"),
-    )
+    ))
 
 
 def receipt_lines(receipts: DataFrame, form: str = "comma") -> DataFrame:

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.sources.layout import spread_rows
+
 
 # The columns each adapter reads, with the types of the test
 # tables.  Declaring them skips the schema-inference job of every read and
@@ -37,24 +39,6 @@ def table(spark: SparkSession, sf_dir: str, name: str, typed: bool = True) -> Da
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread_rows(df: DataFrame) -> DataFrame:
-    """Hash-spread a scan that has fewer splits than the session has cores.
-
-    A Parquet file is split by row groups; a file with one large row group
-    is read by one task, and everything up to the first shuffle (joins,
-    partial aggregation) would run in that task.  Only in that case the
-    rows are hash-partitioned on all their columns right after the scan:
-    deterministic on retry (no sort needed, unlike round robin) and
-    matching no later grouping, so the later shuffles of the plan, which
-    are computed once and reused by all its branches, stay as they are.  A
-    scan with enough splits, as at scale, is returned unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *df.columns)
-
-
 def order_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per receipt: ``rid, data`` (item-less orders included)."""
     return table(spark, sf_dir, "orders").select(
