@@ -14,11 +14,16 @@ from pyspark.sql import SparkSession
 
 # Settings every plan of this library is written for.  AQE re-plans joins
 # from measured sizes (broadcast only below the threshold), coalesces small
-# shuffle partitions and splits skewed join partitions at run time.
+# shuffle partitions and splits skewed join partitions at run time.  It may
+# also run a sort-merge join as a shuffled hash join, but only when every
+# partition of the build side is measured at or below 64 MB (the advisory
+# partition size), so each in-memory hash table stays bounded; skewed or
+# large partitions keep the sort-merge join.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
