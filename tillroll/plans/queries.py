@@ -39,8 +39,9 @@ def _partkey_items(spark: SparkSession, sf: str) -> DataFrame:
     return it.with_month(tables.order_items(spark, sf, "partkey"))
 
 
-def _cents(col) -> F.Column:
-    return (F.col(col) * F.lit(100)).cast("bigint") if isinstance(col, str) else (col * F.lit(100)).cast("bigint")
+def _cents(name: str) -> F.Column:
+    """A DECIMAL money column as BIGINT cents (exact)."""
+    return (F.col(name) * F.lit(100)).cast("bigint")
 
 
 def _top(spark: SparkSession, sf: str) -> DataFrame:
@@ -245,12 +246,13 @@ def q_price_text_roundtrip(spark, sf):
 def q_table_overwrite(spark, sf):
     tag = uuid.uuid4().hex[:12]
     raw, dedup = f"tillroll_prices_{tag}", f"tillroll_price_max_{tag}"
-    sinks.create_table(spark, raw, pr.PRICE_SCHEMA, scratch_path(spark, raw))
+    raw_path, dedup_path = scratch_path(spark, raw), scratch_path(spark, dedup)
+    sinks.create_table(spark, raw, pr.PRICE_SCHEMA, raw_path)
     prices = tables.part_prices(spark, sf, "name")
-    sinks.load_into_table(spark, prices, raw, scratch_path(spark, raw))
-    sinks.load_into_table(spark, prices, raw, scratch_path(spark, raw))  # replaces, never appends
+    sinks.load_into_table(spark, prices, raw, raw_path)
+    sinks.load_into_table(spark, prices, raw, raw_path)  # replaces, never appends
     sinks.drop_table(spark, dedup)
-    sinks.save_table(revenue.dedup_prices(sinks.read_table(spark, raw)), dedup, scratch_path(spark, dedup))
+    sinks.save_table(revenue.dedup_prices(sinks.read_table(spark, raw)), dedup, dedup_path)
     back = sinks.read_table(spark, dedup)
     return back.select("product", _cents("price").alias("price_cents"))
 
