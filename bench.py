@@ -9,7 +9,7 @@ Runs on ``$BENCH_SF_DIR`` (default ``/root/testdata/sf0.1``) with
 Each query is executed in full into Spark's ``noop`` sink (every row is
 computed, nothing is pulled to the driver, as a cluster job writing a
 table would).  One untimed warm-up pass runs all queries first; the
-reported time of a query is the median of ``$BENCH_RUNS`` (default 3)
+reported time of a query is the median of ``$BENCH_RUNS`` (default 5)
 timed runs.
 """
 
@@ -47,7 +47,7 @@ def run(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = build_session(
         f"local[{cpus}]", shuffle_partitions=2 * cpus, app_name="tillroll-bench",
         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
@@ -65,6 +65,7 @@ def main() -> None:
         "sf": float(match.group(1)) if match else sf_dir,
         "cpus": cpus,
         "runs": runs,
+        "stat": "median",
         "sink": "noop",
     }))
     spark.stop()
