@@ -129,3 +129,29 @@ def test_distinct_pairs_equal_fpgrowth(spark):
         expect[(b, a)] = r["freq"]
     got = {(r.p1, r.p2): r.pair_count for r in tr.pair_counts(items, distinct_items=True).collect()}
     assert got == expect
+
+
+NAMES = st.text(alphabet="abc xyz:-_", min_size=1, max_size=8).filter(
+    lambda s: s.strip() == s and ", " not in s and s != "")
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["2015-01-03", "2015-02-10"]), st.lists(NAMES, max_size=5)),
+                min_size=1, max_size=8), st.integers(min_value=1, max_value=4))
+def test_top_line_round_trip(spark, receipts, k):
+    _, items = frames(spark, receipts)
+    top = tr.monthly_top_products(items, k)
+    back = tr.parse_top_line(tr.render_top_line(top))
+    assert sorted(map(tuple, back.select("month", "rank", "product", "units").collect())) == \
+        sorted(map(tuple, top.collect()))
+
+
+@SETTINGS
+@given(RECEIPTS, PRICE_ROWS)
+def test_month_list_round_trip(spark, receipts, price_rows):
+    from decimal import Decimal
+    _, items = frames(spark, receipts)
+    prices = spark.createDataFrame([(p, Decimal(v)) for p, v in price_rows], "product string, price decimal(12,2)")
+    rev = tr.monthly_revenue(items, prices, dedup="max")
+    back = tr.parse_month_list(tr.render_revenue_slash(rev))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rev.select("product", "month", "total").collect()))
