@@ -29,3 +29,19 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["p1", "p2", "pair_count", "support", "confidence"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["monthly_top5", "monthly_revenue_full", "pair_rules", "month_prefix",
+                                  "pair_counts_events_grid"])
+def test_results_do_not_depend_on_session_settings(spark, con, name):
+    confs = {"spark.sql.adaptive.enabled": "false", "spark.sql.ansi.enabled": "false",
+             "spark.sql.session.timeZone": "America/Sao_Paulo", "spark.sql.shuffle.partitions": "3"}
+    before = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        n, problems = compare(spark, con, QUERIES[name], ORACLES[name], SF)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert not problems, problems
