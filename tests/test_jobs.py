@@ -28,6 +28,9 @@ def test_rules_job(spark, write_text):
     jobs.main(["rules", write_text(RECEIPTS), out, "--style", "percent"], spark)
     lines = read_lines(out)
     assert lines[0] == "latte,pane\t42.9%, 100.0%" and "vino,vino\t28.6%, 66.7%" in lines and len(lines) == 7
+    out2 = scratch_path(spark, "job-rules-grid")
+    jobs.main(["rules", write_text(RECEIPTS), out2, "--style", "percent", "--hot-items", "1"], spark)
+    assert read_lines(out2) == lines
 
 
 def test_revenue_job(spark, write_text):

@@ -2,7 +2,7 @@
 
     spark-submit tillroll/jobs.py top      <receipts> <out> [--k 5] [--style tuple|line|columns]
     spark-submit tillroll/jobs.py revenue  <receipts> <prices> <out> [--how inner|full] [--style tuple|slash|array]
-    spark-submit tillroll/jobs.py rules    <receipts> <out> [--style decimal|percent|raw] [--no-self-pairs] [--distinct]
+    spark-submit tillroll/jobs.py rules    <receipts> <out> [--style decimal|percent|raw] [--no-self-pairs] [--distinct] [--hot-items N]
 
 Common options: ``--form comma|colon`` (receipt line form), ``--keep-empty``,
 ``--month-mode date|prefix``.  The output folder is replaced.  Lines are
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import tillroll as tr  # noqa: E402
+from tillroll.operators.rules import HOT_ITEMS_DEFAULT  # noqa: E402
 
 
 def _receipts(spark: SparkSession, args) -> DataFrame:
@@ -59,7 +60,8 @@ def run_revenue(spark: SparkSession, args) -> tuple[DataFrame, list[str]]:
 def run_rules(spark: SparkSession, args) -> tuple[DataFrame, list[str]]:
     receipts = _receipts(spark, args)
     rules = tr.pair_rules(tr.explode_items(receipts, args.month_mode), receipts,
-                          self_pairs=not args.no_self_pairs, distinct_items=args.distinct)
+                          self_pairs=not args.no_self_pairs, distinct_items=args.distinct,
+                          hot_items=args.hot_items)
     if args.style == "decimal":
         return tr.render_rules_decimal(rules), ["p1", "p2"]
     if args.style == "percent":
@@ -99,6 +101,8 @@ def parser() -> argparse.ArgumentParser:
     rul.add_argument("--style", choices=["decimal", "percent", "raw"], default="decimal")
     rul.add_argument("--no-self-pairs", action="store_true")
     rul.add_argument("--distinct", action="store_true")
+    rul.add_argument("--hot-items", type=int, default=HOT_ITEMS_DEFAULT,
+                     help="receipts with more distinct items go through the bucket grid")
     common(rul)
     return p
 
