@@ -5,7 +5,7 @@
     spark-submit tillroll/jobs.py rules    <receipts> <out> [--style decimal|percent|raw] [--no-self-pairs] [--distinct] [--hot-items N]
 
 Common options: ``--form comma|colon`` (receipt line form), ``--keep-empty``,
-``--month-mode date|prefix``.  The output folder is replaced.  Lines are
+``--month-mode date|prefix|unix``.  The output folder is replaced.  Lines are
 written sorted by their key (month, product, or pair).
 """
 
@@ -78,7 +78,7 @@ def parser() -> argparse.ArgumentParser:
     def common(sp):
         sp.add_argument("--form", choices=["comma", "colon"], default="comma")
         sp.add_argument("--keep-empty", action="store_true")
-        sp.add_argument("--month-mode", choices=["date", "prefix"], default="date")
+        sp.add_argument("--month-mode", choices=["date", "prefix", "unix"], default="date")
 
     top = sub.add_parser("top")
     top.add_argument("receipts")
