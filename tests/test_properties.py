@@ -32,11 +32,11 @@ def frames(spark, receipts):
 
 
 @SETTINGS
-@given(RECEIPTS, st.booleans(), st.sampled_from([None, 1, 3]))
-def test_pair_counts_equal_double_loop(spark, receipts, self_pairs, hot_items):
+@given(RECEIPTS, st.booleans(), st.sampled_from([None, 1, 3]), st.sampled_from(["mirror", "ordered"]))
+def test_pair_counts_equal_double_loop(spark, receipts, self_pairs, hot_items, form):
     _, items = frames(spark, receipts)
     got = {(r.p1, r.p2): r.pair_count
-           for r in tr.pair_counts(items, self_pairs=self_pairs, hot_items=hot_items).collect()}
+           for r in tr.pair_counts(items, self_pairs=self_pairs, hot_items=hot_items, form=form).collect()}
     assert got == dict(brute_pairs(receipts, self_pairs))
 
 
