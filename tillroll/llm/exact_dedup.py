@@ -25,8 +25,11 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import WORD_GAP
 from tillroll.session import scratch_path
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# RocksDB state; a store is closed after each commit, as an open one holds
+# some preallocated megabytes for every shuffle partition.
+_STATE = {"spark.sql.streaming.stateStore.providerClass":
+          "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+          "spark.sql.streaming.stateStore.unloadOnCommit": "true"}
 
 
 def normalised(text: Column) -> Column:
@@ -54,8 +57,9 @@ def update_state(spark: SparkSession, path: str, schema: str, state_dir: str, id
                  text_col: str = "text", digest: Callable[[Column], Column] = sha256_digest,
                  max_bytes_per_batch: int = 1 << 40) -> None:
     """Run the stream over the files of a Parquet table that it has not read yet."""
-    before = spark.conf.get(_PROVIDER)
-    spark.conf.set(_PROVIDER, _ROCKS)
+    before = {k: spark.conf.get(k) for k in _STATE}
+    for k, v in _STATE.items():
+        spark.conf.set(k, v)
     try:
         # as a pattern, since a stream takes a plain path for a folder
         rows = (spark.readStream.schema(schema).option("maxBytesPerTrigger", str(max_bytes_per_batch))
@@ -65,7 +69,8 @@ def update_state(spark: SparkSession, path: str, schema: str, state_dir: str, id
         (state.writeStream.format("noop").outputMode("update").option("checkpointLocation", state_dir)
          .trigger(availableNow=True).start().awaitTermination())
     finally:
-        spark.conf.set(_PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def read_state(spark: SparkSession, state_dir: str) -> DataFrame:
