@@ -2,7 +2,8 @@
 
 Byte-level BPE never merges across pre-tokens, so the ids of a text are the
 ids of its pre-tokens in order.  Words repeat, so each worker keeps a bounded
-cache from pre-token to ids and asks the tokenizer only for new ones.
+cache from pre-token to ids and asks the tokenizer only for new ones.  The
+cache has two generations, so frequent pre-tokens outlive rare ones.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ class CachedEncoder:
 
     ``encode_many`` gives the ids of a list of pre-tokens.  ``special`` maps a
     string that is cut out of texts before anything else to its id.  A long
-    pre-token is encoded anew each time, and a full cache is emptied, so the
-    memory stays bounded.
+    pre-token is encoded anew each time, and of a full generation only what is
+    used again survives, so the memory stays bounded.
     """
 
     def __init__(self, pretokenizer: Pretokenizer,
@@ -33,6 +34,7 @@ class CachedEncoder:
         self._pre, self._encode = pretokenizer, encode_many
         self._special = {k: np.uint32(v).tobytes() for k, v in (special or {}).items()}
         self._cache: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as bytes."""
@@ -68,11 +70,14 @@ class CachedEncoder:
         ends = at.tolist()
         pieces = [joined[a:b] for a, b in zip(ends, [*ends[1:], len(joined)])]
         if len(self._cache) > CACHE_ENTRIES:
-            self._cache.clear()
+            self._older, self._cache = self._cache, {}
         coded = list(map(self._cache.get, pieces))
         missing = list(dict.fromkeys(p for p, c in zip(pieces, coded) if c is None))
         if missing:
-            new = {p: np.array(ids, "<u4").tobytes() for p, ids in zip(missing, self._encode(missing))}
+            new = {p: c for p in missing if (c := self._older.get(p)) is not None}
+            fresh = [p for p in missing if p not in new]
+            if fresh:
+                new.update((p, np.array(ids, "<u4").tobytes()) for p, ids in zip(fresh, self._encode(fresh)))
             coded = [new[p] if c is None else c for p, c in zip(pieces, coded)]
             self._cache.update((p, c) for p, c in new.items() if len(p) <= CACHE_LENGTH)
         return [b"".join(coded[a:b]) for a, b in zip(cuts, cuts[1:])]
