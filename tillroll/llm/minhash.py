@@ -16,10 +16,14 @@ confirmed on the full sets.
 
 Lists may still be long, for thousands of near copies.  No list is expanded
 into all its pairs: a first round pairs every member with the most typical
-class of its list and joins confirmed pairs to components; a second one pairs
-only members of different components, since a link inside a component changes
-nothing.  Pairs of different components are all tried, so no link that the
-signatures show is lost.
+class of its list and joins confirmed pairs to components.  From then on only
+members of different components are paired, since a link inside a component
+changes nothing.  While many such pairs are left and each round halves them,
+further rounds pair members with a few typical classes of other components (the
+lists are dealt anew to buckets with a leader each), at a cost in proportion to
+the members.  The last round tries all pairs that are left but those that can't
+be similar: an intersection is at most the shingles that other sets of these
+lists have too.  So no link that the signatures show is lost.
 
 With k = 64 and matches = 40, a pair at the limit 0.8 has 51 equal
 coordinates on average and fewer than 40 with a probability of about 1e-4.
@@ -40,6 +44,9 @@ from tillroll.session import scratch_path, scratch_root
 WORDS, SIMILARITY = 4, 0.8
 COORDINATES, MATCHES = 64, 40
 MAX_ROUNDS = 100
+# Further rounds: leaders of a list in each, and pairs per member of a list
+# that are left to the last round at once.
+LEADERS, SPARE_PAIRS = 4, 4
 
 _rng = np.random.default_rng(20_240_501)
 _MIX = (_rng.integers(1, 1 << 62, 16, np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -152,6 +159,10 @@ def confirm(pairs: DataFrame, found: DataFrame, sets: DataFrame, similarity: flo
     counted = (pairs.join(keys.select(F.col("id").alias("a"), F.col("keys").alias("ka")), "a")
                .join(keys.select(F.col("id").alias("b"), F.col("keys").alias("kb")), "b")
                .where(F.size(F.array_intersect("ka", "kb")) >= matches).select("a", "b"))
+    counted = counted.checkpoint()
+    # only the sets that pairs need, so adaptive execution can broadcast them where they are small
+    wanted = counted.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    sets = sets.join(wanted, "id", "left_semi")
     both = (counted.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
             .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
             .select("a", "b", "sa", "sb"))
@@ -213,8 +224,8 @@ def class_links(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str,
     wanted = found.select(F.col("id").alias("wanted"))
     path = scratch_path(spark, "minhash-sets")
     chosen = docs.join(wanted, docs[id_col] == wanted["wanted"], "left_semi")
-    full_sets(chosen, id_col, text_col, words).write.parquet(path)
-    sets = spark.read.parquet(path).dropDuplicates(["id", "shingles"])
+    full_sets(chosen, id_col, text_col, words).dropDuplicates(["id", "shingles"]).write.parquet(path)
+    sets = spark.read.parquet(path)
 
     # round 1: everyone with the most typical class of each of its lists
     posted = found.select("id", "weight", F.explode("prefix").alias("key"))
@@ -225,19 +236,74 @@ def class_links(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str,
              .select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct())
     links = confirm(first, found, sets, similarity, matches).checkpoint()
 
-    # round 2: members of one list in different components
-    labelled = _with_component(found, links).checkpoint()
-    posted = labelled.select("id", "component", F.explode("prefix").alias("key"), "prefix")
-    mixed = (posted.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-             .where("low <> high").select(F.col("key").alias("mixed")).checkpoint())
-    lists = posted.join(mixed, posted["key"] == mixed["mixed"]).select("key", "id", "component", "prefix").checkpoint()
-    x = lists.select("key", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("prefix").alias("pa"))
+    # further rounds while they get on and many pairs are left: members with a few leaders of other components
+    lists, left, members = mixed_lists(found, links)
+    before, turn = float("inf"), 0
+    while SPARE_PAIRS * members < left < before / 2:
+        before, turn = left, turn + 1
+        bucket = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(LEADERS)).alias("bucket")
+        leaders = (lists.groupBy("key", bucket)
+                   .agg(F.min(F.struct((-F.col("weight")).alias("w"), "id", "component")).alias("top"))
+                   .select(F.col("key").alias("lead_key"), F.col("top.id").alias("lead"),
+                           F.col("top.component").alias("lead_component")).checkpoint())
+        more = (lists.join(leaders, lists["key"] == leaders["lead_key"])
+                .where(F.col("component") != F.col("lead_component"))
+                .select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct())
+        links = links.unionByName(confirm(more, found, sets, similarity, matches)).checkpoint()
+        lists, left, members = mixed_lists(found, links)
+
+    # last round: all members of one list that are still in different components
+    bounds = common_shingles(sets.join(lists.select("id").distinct(), "id", "left_semi")).checkpoint()
+    lists = lists.join(bounds.withColumnRenamed("id", "bid"), F.col("id") == F.col("bid"))
+    x = lists.select("key", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("prefix").alias("pa"),
+                     F.col("n").alias("na"), F.col("common").alias("ma"))
     y = lists.select(F.col("key").alias("key2"), F.col("id").alias("b"), F.col("component").alias("cb"),
-                     F.col("prefix").alias("pb"))
+                     F.col("prefix").alias("pb"), F.col("n").alias("nb"), F.col("common").alias("mb"))
+    most = F.least("ma", "mb")
+    may = 100 * most >= round(100 * similarity) * (F.col("na") + F.col("nb") - most)
     # a pair is made in the first list that both share
-    second = x.join(y, (F.col("key") == F.col("key2")) & (F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b"))
-                    & (F.get(F.array_intersect("pa", "pb"), F.lit(0)) == F.col("key"))).select("a", "b")
-    return links.unionByName(confirm(second, found, sets, similarity, matches)).checkpoint()
+    last = x.join(y, (F.col("key") == F.col("key2")) & (F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & may
+                  & (F.get(F.array_intersect("pa", "pb"), F.lit(0)) == F.col("key"))).select("a", "b")
+    return links.unionByName(confirm(last, found, sets, similarity, matches)).checkpoint()
+
+
+def common_shingles(sets: DataFrame) -> DataFrame:
+    """Sizes of sets and how many of their shingles other ones have too: ``id, n, common``.
+
+    No intersection is larger than ``common``.  Shingles are counted with
+    map-side combine, and only those of a single set are counted by set.
+    """
+    id_type = dict(sets.dtypes)["id"]
+
+    def run(batches):
+        for batch in batches:
+            found = [np.frombuffer(x, np.int64) for x in batch.column(1).to_pylist()]
+            at = np.repeat(np.arange(len(found)), [len(x) for x in found])
+            for low in range(0, len(at), 1 << 16):
+                part = slice(low, low + (1 << 16))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(at[part])), pa.array(np.concatenate(found)[part])], ["id", "shingle"])
+
+    single = (map_arrow(sets.select("id", "shingles"), run, f"id {id_type}, shingle bigint").groupBy("shingle")
+              .agg(F.min("id").alias("sid"), F.count(F.lit(1)).alias("f")).where("f = 1")
+              .groupBy("sid").agg(F.count(F.lit(1)).alias("own")))
+    n = (F.octet_length("shingles") / 8).cast("bigint")
+    return sets.join(single, sets["id"] == single["sid"], "left").select(
+        "id", n.alias("n"), (n - F.coalesce("own", F.lit(0))).alias("common"))
+
+
+def mixed_lists(found: DataFrame, links: DataFrame) -> tuple[DataFrame, float, int]:
+    """Lists with members of several components: their rows ``key, id, component,
+    weight, prefix``, the pairs of different components in them, and their members."""
+    labelled = _with_component(found, links).checkpoint()
+    posted = labelled.select("id", "component", "weight", F.explode("prefix").alias("key"), "prefix")
+    parts = posted.groupBy("key", "component").agg(F.count(F.lit(1)).cast("double").alias("m"))
+    mixed = (parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.sum("m").alias("n"),
+                                      F.sum(F.col("m") * F.col("m")).alias("same"))
+             .where("parts > 1").select(F.col("key").alias("mixed"), "n", "same").checkpoint())
+    left, members = mixed.agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2), F.sum("n")).first()
+    lists = posted.join(mixed, posted["key"] == mixed["mixed"]).select("key", "id", "component", "weight", "prefix")
+    return lists.checkpoint(), left or 0.0, int(members or 0)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
