@@ -67,6 +67,13 @@ def test_price_reader_is_exact(spark, write_text):
     assert rows(p, "product", "price") == [("latte", Decimal("3.50")), ("pane", Decimal("3.00")), ("vino", None)]
 
 
+def test_price_lines_have_no_quotes_and_lose_nothing(spark, write_text):
+    p = tr.read_prices(spark, write_text('"d,4\n\na,3.50\n'))
+    assert rows(p, "product", "price") == [('"d', Decimal("4.00")), ("a", Decimal("3.50"))]
+    with pytest.raises(Exception, match="does not fit"):
+        tr.read_prices(spark, write_text("b,3.999\n")).collect()
+
+
 # ---------------------------------------------------------------- months
 
 def test_month_modes(spark):
@@ -154,7 +161,7 @@ def test_revenue_inner(q2_inputs):
 def test_revenue_full_and_slash_render(q2_inputs):
     rev = tr.monthly_revenue(*q2_inputs, how="full", zero_is_missing=True)
     got = dict(rows(tr.render_revenue_slash(rev), "product", "line"))
-    assert got == {"a": "a\t08/2015:6.00 09/2015:3.00 ", "nopr": "nopr\t", "unsold": "unsold\t"}
+    assert got == {"a": "a\t08/2015:6 09/2015:3 ", "nopr": "nopr\t", "unsold": "unsold\t"}
 
 
 def test_revenue_zero_price(spark, q2_inputs):
@@ -164,6 +171,16 @@ def test_revenue_zero_price(spark, q2_inputs):
     assert tr.monthly_revenue(items, zero, zero_is_missing=True).count() == 0
 
 
+def test_revenue_full_keeps_unsold_zero_prices_and_undated_sales(spark):
+    items = spark.createDataFrame([(1, "2015-08", "a"), (2, None, "a"), (3, "2015-08", "z")],
+                                  "rid long, month string, product string")
+    prices = spark.createDataFrame([("a", Decimal("3")), ("z", Decimal("0")), ("zu", Decimal("0")), ("m", None)],
+                                   "product string, price decimal(12,2)")
+    rev = tr.monthly_revenue(items, prices, how="full", zero_is_missing=True)
+    assert dict(rows(tr.render_revenue_slash(rev), "product", "line")) == {
+        "a": "a\tundated:3 08/2015:3 ", "z": "z\t", "zu": "zu\t", "m": "m\t"}
+
+
 def test_revenue_duplicate_and_fractional_prices(spark, q2_inputs):
     items, _ = q2_inputs
     dup = spark.createDataFrame([("a", Decimal("3")), ("a", Decimal("3.5"))], "product string, price decimal(12,2)")
@@ -174,8 +191,8 @@ def test_revenue_duplicate_and_fractional_prices(spark, q2_inputs):
 
 def test_revenue_renderers(q2_inputs):
     rev = tr.monthly_revenue(*q2_inputs)
-    assert rows(tr.render_revenue_tuple(rev), "line") == [("(a,[(2015-08,6.00), (2015-09,3.00)])",)]
-    assert [r.month_total for r in tr.render_revenue_array(rev).collect()] == [["08-2015:6.00", "09-2015:3.00"]]
+    assert rows(tr.render_revenue_tuple(rev), "line") == [("(a,[(2015-08,6), (2015-09,3)])",)]
+    assert [r.month_total for r in tr.render_revenue_array(rev).collect()] == [["08-2015:6", "09-2015:3"]]
 
 
 # ---------------------------------------------------------------- Q3

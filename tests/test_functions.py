@@ -1,5 +1,6 @@
 """Column helpers on literal inputs."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillroll.functions import (
@@ -38,3 +39,13 @@ def test_number_formats(spark):
     assert one(spark, decimal2_times100(F.lit(0.0))) == "0.00"
     assert one(spark, raw_percent(F.lit(0.75))) == "75.0%"
     assert one(spark, raw_percent(F.lit(3.0) / F.lit(7.0), places=6)) == "42.857143%"
+
+
+def test_scratch_root_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from tillroll.session import scratch_root
+
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda key, default: default)))

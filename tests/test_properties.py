@@ -92,16 +92,18 @@ def test_revenue_equals_brute_force(spark, receipts, price_rows, how, zero_missi
     got = sorted((r.product, r.month, r.units, r.total)
                  for r in tr.monthly_revenue(items, prices, how=how, zero_is_missing=zero_missing, dedup=dedup).collect())
     units = Counter((p, d[:7]) for d, its in receipts for p in its)
-    plist = [(p, Decimal(v)) for p, v in price_rows if not (zero_missing and Decimal(v) == 0)]
+    plist = [(p, None if zero_missing and Decimal(v) == 0 else Decimal(v)) for p, v in price_rows]
+    if how == "inner":
+        plist = [(p, v) for p, v in plist if v is not None]
     if dedup:
         best = {}
         for p, v in plist:
-            best[p] = max(best.get(p, v), v)
+            best[p] = max((x for x in (best.get(p), v) if x is not None), default=None)
         plist = list(best.items())
     expect = []
     for (p, m), n in units.items():
         matches = [v for q, v in plist if q == p]
-        expect += [(p, m, n, (n * v).quantize(Decimal("0.01"))) for v in matches]
+        expect += [(p, m, n, None if v is None else (n * v).quantize(Decimal("0.01"))) for v in matches]
         if how == "full" and not matches:
             expect.append((p, m, n, None))
     if how == "full":

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from tillroll.functions.dates import month_label
 from tillroll.functions.formats import decimal2_times100, percent1, raw_percent
 
+UNDATED = "undated"  # shown for the month of items whose date did not parse
+
 
 def _ranked_list(top: DataFrame, group: str = "month") -> DataFrame:
     """Per group, the top rows as an array sorted by rank (at most k long)."""
@@ -26,7 +28,7 @@ def render_top_tuple(top: DataFrame) -> DataFrame:
     lst = _ranked_list(top)
     body = F.array_join(F.transform("entries", lambda e: F.concat(
         F.lit("("), e["product"], F.lit(","), e["units"].cast("string"), F.lit(")"))), ", ")
-    line = F.concat(F.lit("("), F.col("month"), F.lit(",["), body, F.lit("])"))
+    line = F.concat(F.lit("("), F.coalesce("month", F.lit(UNDATED)), F.lit(",["), body, F.lit("])"))
     return lst.select("month", line.alias("line"))
 
 
@@ -41,7 +43,7 @@ def render_top_line(top: DataFrame, trailing_separator: bool = False, k: int = 5
         " ", e["product"], e["units"].cast("string"))), ", ")
     if trailing_separator:
         body = F.when(F.size("entries") < k, F.concat(body, F.lit(", "))).otherwise(body)
-    line = F.concat(F.col("month"), F.lit(":\t"), body)
+    line = F.concat(F.coalesce("month", F.lit(UNDATED)), F.lit(":\t"), body)
     return lst.select("month", line.alias("line"))
 
 
@@ -99,17 +101,22 @@ def parse_top_line(lines: DataFrame, col: str = "line") -> DataFrame:
     )
 
 
-def _month_entries(revenue: DataFrame, label: str, total_text, sep: str):
-    return F.sort_array(F.collect_list(F.when(
-        F.col("month").isNotNull() & F.col("total").isNotNull(),
-        F.struct(F.col("month").alias("m"),
-                 F.concat(month_label(F.col("month"), label), F.lit(sep), total_text).alias("t")))))
+def _total_text():
+    """A total without trailing zeros: ``6``, ``3.5``."""
+    return F.regexp_replace(F.col("total").cast("string"), r"\.?0+$", "")
+
+
+def _entry(label: str, sep: str):
+    """Month and total of a sale (NULL without a total); undated sales say so."""
+    month = F.coalesce(month_label(F.col("month"), label), F.lit(UNDATED))
+    return F.when(F.col("total").isNotNull(), F.struct(
+        F.col("month").alias("m"), F.concat(month, F.lit(sep), _total_text()).alias("t")))
 
 
 def render_revenue_tuple(revenue: DataFrame) -> DataFrame:
     """``(prod,[(month,total), ...])`` per product, months ascending."""
-    lst = revenue.groupBy("product").agg(_month_entries(
-        revenue, "yyyy-MM", F.col("total").cast("string"), ",").alias("entries"))
+    lst = revenue.groupBy("product").agg(F.sort_array(F.collect_list(
+        _entry("yyyy-MM", ","))).alias("entries"))
     body = F.array_join(F.transform("entries", lambda e: F.concat(F.lit("("), e["t"], F.lit(")"))), ", ")
     line = F.concat(F.lit("("), F.col("product"), F.lit(",["), body, F.lit("])"))
     return lst.select("product", line.alias("line"))
@@ -121,8 +128,8 @@ def render_revenue_slash(revenue: DataFrame) -> DataFrame:
     Meant for ``monthly_revenue(..., how='full', zero_is_missing=True)``: a
     product without a price, or a price without sales, gets an empty list.
     """
-    lst = revenue.groupBy("product").agg(_month_entries(
-        revenue, "MM/yyyy", F.col("total").cast("string"), ":").alias("entries"))
+    lst = revenue.groupBy("product").agg(F.sort_array(F.collect_list(
+        _entry("MM/yyyy", ":"))).alias("entries"))
     body = F.concat_ws("", F.transform("entries", lambda e: F.concat(e["t"], F.lit(" "))))
     return lst.select("product", F.concat(F.col("product"), F.lit("\t"), body).alias("line"))
 
@@ -130,10 +137,7 @@ def render_revenue_slash(revenue: DataFrame) -> DataFrame:
 def render_revenue_array(revenue: DataFrame) -> DataFrame:
     """``(product, ARRAY<'MM-yyyy:total'>)``: a set of entries (equal entries
     collapse, as with ``collect_set``), sorted by month."""
-    entry = F.when(F.col("month").isNotNull() & F.col("total").isNotNull(), F.struct(
-        F.col("month").alias("m"),
-        F.concat(month_label(F.col("month"), "MM-yyyy"), F.lit(":"), F.col("total").cast("string")).alias("t")))
-    lst = revenue.groupBy("product").agg(F.sort_array(F.collect_set(entry)).alias("entries"))
+    lst = revenue.groupBy("product").agg(F.sort_array(F.collect_set(_entry("MM-yyyy", ":"))).alias("entries"))
     return lst.select("product", F.transform("entries", lambda e: e["t"]).alias("month_total"))
 
 

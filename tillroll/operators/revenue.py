@@ -34,15 +34,17 @@ def monthly_revenue(items: DataFrame, prices: DataFrame, how: str = "inner",
     * ``how='inner'``: only products that sold and have a price.
     * ``how='full'``: also products without a price (price and total NULL)
       and priced products without sales (month and units NULL).
-    * ``zero_is_missing=True``: a price of 0 counts as no price.
+    * ``zero_is_missing=True``: a price of 0 counts as no price (with
+      ``'full'`` the product stays, with price and total NULL).
     * ``dedup='max'``: one price per product; by default every price row
       joins (a product with two prices gets two rows per month).
     """
     if how not in ("inner", "full"):
         raise ValueError(f"how must be 'inner' or 'full', got {how!r}")
     p = typed_prices(prices)
-    if zero_is_missing:
-        p = p.where(F.col("price") != 0)
+    if zero_is_missing:  # the full join keeps the product, only its price is blank
+        p = (p.where(F.col("price") != 0) if how == "inner"
+             else p.withColumn("price", F.when(F.col("price") != 0, F.col("price"))))
     if dedup:
         p = dedup_prices(p, dedup)
     counts = product_month_counts(items)

@@ -33,14 +33,15 @@ GROUP BY month
 """
 
 REVENUE_SQL = """
-SELECT z.prod AS product, z.month, z.tot AS units,
-       CAST(z.total_price * 100 AS BIGINT) AS total_cents
-FROM (SELECT y.month, y.prod, y.tot, CAST(y.tot * price AS DECIMAL(22,2)) AS total_price
-      FROM (SELECT x.month, x.prod, count(1) AS tot
-            FROM (SELECT date_format(try_cast(data AS DATE), 'yyyy-MM') AS month, prod
-                  FROM {receipts} LATERAL VIEW explode(list) sub AS prod) x
-            GROUP BY x.month, x.prod) y, {prices}
-      WHERE y.prod = product) z
+WITH sold_items AS (
+    SELECT item, date_format(try_cast(data AS DATE), 'yyyy-MM') AS sold_in
+    FROM {receipts} LATERAL VIEW explode(list) exploded AS item),
+unit_counts AS (
+    SELECT item, sold_in, count(*) AS sold_units FROM sold_items GROUP BY item, sold_in)
+SELECT unit_counts.item AS product, sold_in AS month, sold_units AS units,
+       CAST(sold_units * list_price.price * 100 AS BIGINT) AS total_cents
+FROM unit_counts, {prices} AS list_price
+WHERE list_price.product = unit_counts.item
 """
 
 

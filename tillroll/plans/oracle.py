@@ -40,6 +40,19 @@ REVENUE = """rev AS (
     FROM (SELECT product, month, count(*) AS units FROM items GROUP BY product, month) c
     JOIN prices p ON c.product = p.product)"""
 
+# a total as text: whole numbers without decimals, others without trailing zeros
+TOTAL_TEXT = """CASE WHEN total = floor(total) THEN CAST(CAST(total AS BIGINT) AS VARCHAR)
+            ELSE rtrim(CAST(total AS VARCHAR), '0') END"""
+
+# every product that sold or is listed; without a price other than 0 its list is empty
+FULL_LINES = f"""every AS (SELECT product FROM items UNION SELECT product FROM prices),
+sold AS (
+    SELECT i.product, i.month, CAST(count(*) * p.price AS DECIMAL(22,2)) AS total
+    FROM items i JOIN prices p ON i.product = p.product AND p.price <> 0 GROUP BY i.product, i.month, p.price)
+SELECT e.product, e.product || chr(9) || coalesce(string_agg(
+           substr(month, 6, 2) || '/' || substr(month, 1, 4) || ':' || {TOTAL_TEXT} || ' ', '' ORDER BY month), '') AS line
+FROM every e LEFT JOIN sold s ON e.product = s.product GROUP BY e.product"""
+
 NUMBERED = """num AS (
     SELECT rid, product, row_number() OVER (PARTITION BY rid ORDER BY product) AS ix FROM items)"""
 
@@ -137,26 +150,19 @@ SELECT DISTINCT month, substr(month, 6, 2) || '/' || substr(month, 1, 4) AS mont
 FROM items""",
     "monthly_revenue": f"""WITH {ITEMS_BY_PARTKEY}, {PRICES_BY_PARTKEY}, {REVENUE}
 SELECT product, month, units, CAST(total * 100 AS BIGINT) AS total_cents FROM rev""",
-    "monthly_revenue_full": f"""WITH {ITEMS_BY_PARTKEY}, {PRICES_BY_PARTKEY},
-c AS (SELECT product, month, count(*) AS units FROM items GROUP BY product, month),
-p AS (SELECT product, price FROM prices WHERE price <> 0),
-j AS (
-    SELECT coalesce(c.product, p.product) AS product, c.month,
-           CAST(c.units * p.price AS DECIMAL(22,2)) AS total
-    FROM c FULL OUTER JOIN p ON c.product = p.product)
-SELECT product,
-       product || chr(9) || coalesce(string_agg(
-           CASE WHEN month IS NOT NULL AND total IS NOT NULL
-                THEN substr(month, 6, 2) || '/' || substr(month, 1, 4) || ':' || CAST(total AS VARCHAR) || ' ' END,
-           '' ORDER BY month), '') AS line
-FROM j GROUP BY product""",
+    "monthly_revenue_full": f"""WITH {ITEMS_BY_PARTKEY}, {PRICES_BY_PARTKEY}, {FULL_LINES}""",
+    "monthly_revenue_full_zero": f"""WITH {ITEMS_BY_PARTKEY},
+zeroed AS (
+    SELECT CAST(p_partkey AS VARCHAR) AS product,
+           CASE WHEN p_partkey % 7 = 0 THEN 0 ELSE CAST(p_retailprice AS DECIMAL(12,2)) END AS price FROM part),
+prices AS (SELECT product, price FROM zeroed UNION ALL SELECT '-' || product, price FROM zeroed), {FULL_LINES}""",
     "monthly_revenue_tuple": f"""WITH {ITEMS_BY_PARTKEY}, {PRICES_BY_PARTKEY}, {REVENUE}
 SELECT product,
-       '(' || product || ',[' || string_agg('(' || month || ',' || CAST(total AS VARCHAR) || ')', ', ' ORDER BY month) || '])' AS line
+       '(' || product || ',[' || string_agg('(' || month || ',' || {TOTAL_TEXT} || ')', ', ' ORDER BY month) || '])' AS line
 FROM rev GROUP BY product""",
     "monthly_revenue_array": f"""WITH {ITEMS_BY_PARTKEY}, {PRICES_BY_PARTKEY}, {REVENUE}
 SELECT product,
-       string_agg(substr(month, 6, 2) || '-' || substr(month, 1, 4) || ':' || CAST(total AS VARCHAR), ',' ORDER BY month) AS month_total
+       string_agg(substr(month, 6, 2) || '-' || substr(month, 1, 4) || ':' || {TOTAL_TEXT}, ',' ORDER BY month) AS month_total
 FROM rev GROUP BY product""",
     "price_dedup": PRICE_DEDUP_SQL,
     "product_occurrences": OCCURRENCES_SQL,

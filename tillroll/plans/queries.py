@@ -122,6 +122,16 @@ def q_monthly_revenue_full(spark, sf):
     return render.render_revenue_slash(rev)
 
 
+def q_monthly_revenue_full_zero(spark, sf):
+    """Full join where some prices are 0 and half of the products never sold."""
+    listed = tables.part_prices(spark, sf, "partkey").select("product", F.when(
+        F.col("product").cast("bigint") % 7 == 0, F.lit(0)).otherwise(F.col("price")).alias("price"))
+    unsold = listed.select(F.concat(F.lit("-"), "product").alias("product"), "price")
+    rev = revenue.monthly_revenue(_partkey_items(spark, sf), listed.unionByName(unsold), how="full",
+                                  zero_is_missing=True)
+    return render.render_revenue_slash(rev)
+
+
 def q_monthly_revenue_tuple(spark, sf):
     return render.render_revenue_tuple(_revenue(spark, sf))
 
@@ -316,6 +326,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "month_labels": q_month_labels,
     "monthly_revenue": q_monthly_revenue,
     "monthly_revenue_full": q_monthly_revenue_full,
+    "monthly_revenue_full_zero": q_monthly_revenue_full_zero,
     "monthly_revenue_tuple": q_monthly_revenue_tuple,
     "monthly_revenue_array": q_monthly_revenue_array,
     "price_dedup": q_price_dedup,

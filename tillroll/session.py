@@ -6,7 +6,6 @@ These helpers are for tests, ``bench.py`` and small scripts.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -51,15 +50,17 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for written intermediates.
 
-    On a cluster this is ``spark.checkpoint.dir`` (a shared file system the
-    cluster names).  Only when the session has none, as in local tests, a
-    fresh folder is made and registered as the checkpoint dir.
+    This is ``spark.checkpoint.dir`` (a shared file system the cluster names).
+    A session without one is an error on a cluster, whose machines do not share
+    their folders; on a ``local`` master a fresh folder is made and registered.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             root = tempfile.mkdtemp(prefix="tillroll-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
@@ -70,7 +71,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below :func:`scratch_root` (one per call)."""
     root = scratch_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex}"
-
-
-def sf_dir_default() -> str:
-    return os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")

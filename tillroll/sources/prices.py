@@ -9,13 +9,20 @@ PRICE_SCHEMA = "product STRING, price DECIMAL(12,2)"
 
 
 def read_prices(spark: SparkSession, path: str) -> DataFrame:
-    """Read ``product,price`` lines with a fixed schema (no inference).
+    """Read ``product,price`` lines as plain text, split at the commas.
 
-    The price is typed DECIMAL(12,2), so ``3`` and ``3.5`` are both exact and
-    the later ``units x price`` needs no string-to-number guess.  A malformed
-    price reads as NULL.
+    Quotes have no meaning, as in receipt lines.  The price is typed
+    DECIMAL(12,2), so ``3`` and ``3.5`` are both exact and the later ``units x
+    price`` needs no string-to-number guess.  A malformed price reads as NULL;
+    one that two decimals can't hold is an error.  Empty lines are skipped.
     """
-    return spark.read.csv(path, schema=PRICE_SCHEMA, header=False, mode="PERMISSIVE")
+    parts = F.split("value", ",", -1)
+    lines = spark.read.text(path).where(F.col("value") != "")
+    exact = lines.select(F.get(parts, 0).alias("product"), F.trim(F.get(parts, 1)).try_cast("decimal(38,12)").alias("exact"))
+    price = F.col("exact").try_cast("decimal(12,2)")
+    lost = F.col("exact").isNotNull() & ~F.col("exact").eqNullSafe(price.cast("decimal(38,12)"))
+    return exact.select("product", F.when(lost, F.raise_error(F.concat(
+        F.lit("price does not fit DECIMAL(12,2): "), F.col("exact").cast("string")))).otherwise(price).alias("price"))
 
 
 def typed_prices(prices: DataFrame, product: str = "product", price: str = "price") -> DataFrame:
