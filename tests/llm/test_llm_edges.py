@@ -1,5 +1,6 @@
 """Defined results for nulls, empty and long texts, ties, repeats, empty tables and clashing columns."""
 
+import json
 import random
 import struct
 
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from test_llm_queries import base_counts, brute_components, check_packing
-from tillroll.llm import (byte_bpe, chat, classifier, exact_dedup, line_dedup, minhash, packing, quality_rules, queries,
+from tillroll.llm import (byte_bpe, chat, classifier, encoding, exact_dedup, line_dedup, minhash, packing, quality_rules, queries,
                           token_counts, warc)
 from tillroll.llm.common import schema_of
 
@@ -115,6 +116,38 @@ def test_packing_of_odd_texts(spark):
         check_packing(rows, {i: t or "" for i, t in enumerate(TEXTS)}, Tokenizer.from_file(queries.TOKENIZER))
 
 
+def test_rank_encoder_equals_the_library():
+    from tokenizers import Tokenizer
+
+    with open(queries.TOKENIZER, "rb") as f:
+        file = f.read()
+    encoder, tok = packing.tokenizer_encoder(file), Tokenizer.from_str(file.decode())
+    assert isinstance(encoder, encoding.RankEncoder)
+    rng = random.Random(5)
+    points = [c for c in [*range(0x3000), *range(0xfe00, 0x11000), *range(0x1f000, 0x1fb00)] if not 0xd800 <= c < 0xe000]
+    texts = ["", "<|endoftext|>", "a<|endoftext|> <|endoftext|>b", "'s't 'LL don't", "x" * 5000, " " * 3000 + "a"]
+    texts += ["".join(chr(rng.choice(points)) if rng.random() < .3 else rng.choice("ab '\n\t1.Ã©sdlv<|>")
+                      for _ in range(rng.randrange(60))) for _ in range(3000)]
+    expected = [np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encoder.encode(texts) == expected
+    encoder._alike[ord("b")] = encoding.DIFFERENT  # as if the libraries disagreed on it
+    assert not encoder._fits("abc") and encoder._fits("acc")
+    assert encoder.encode(texts) == expected
+
+
+@pytest.mark.parametrize("change", [
+    {"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {"type": "Whitespace"}}, "order"])
+def test_ranks_only_of_files_that_are_ranks(change):
+    with open(queries.TOKENIZER) as f:
+        settings = json.load(f)
+    assert len(encoding.ranks_of(settings)) == 50_256
+    if change == "order":
+        settings["model"]["merges"][:2] = settings["model"]["merges"][1::-1]
+    else:
+        settings.update(change)
+    assert encoding.ranks_of(settings) is None
+
+
 def test_exact_dedup_nulls_and_colliding_digests(spark, tmp_path):
     path = written(spark, tmp_path, frame(spark))
     schema = schema_of("documents")

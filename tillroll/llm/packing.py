@@ -21,6 +21,7 @@ a slot or sequence ends, and only the last sequence may be short.
 
 from __future__ import annotations
 
+import json
 import zlib
 
 import numpy as np
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import map_arrow
-from tillroll.llm.encoding import CachedEncoder
+from tillroll.llm.encoding import CachedEncoder, RankEncoder, ranks_of
 from tillroll.llm.pretoken import Pretokenizer, probe_of_tokenizers
 from tillroll.session import scratch_path
 
@@ -39,7 +40,7 @@ UNIT = 1 << 16  # deficits are counted in 1/UNIT tokens
 BROADCAST_ROWS = 200_000  # of the offsets table; beyond that it is joined by shuffle
 
 
-def tokenizer_encoder(file: bytes) -> CachedEncoder:
+def tokenizer_encoder(file: bytes) -> CachedEncoder | RankEncoder:
     """Encoder of a byte-level BPE tokenizer file, as the library gives the ids."""
     from tokenizers import Tokenizer
 
@@ -51,7 +52,10 @@ def tokenizer_encoder(file: bytes) -> CachedEncoder:
     def many(pieces: list[str]) -> list[list[int]]:
         return [e.ids for e in tok.encode_batch(pieces, add_special_tokens=False)]
 
-    return CachedEncoder(Pretokenizer(probe_of_tokenizers(tok)), many, special)
+    pretokenizer = Pretokenizer(probe_of_tokenizers(tok))
+    exact = CachedEncoder(pretokenizer, many, special)
+    ranks = ranks_of(json.loads(file))
+    return RankEncoder(ranks, special, pretokenizer, exact) if ranks else exact
 
 
 def encode_queues(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_col: str,

@@ -19,6 +19,9 @@ import numpy as np
 
 UNKNOWN, LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3, 4
 
+# Fixed value: the split pattern of these vocabularies.
+SPLIT_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+
 # What may follow an apostrophe in a contraction.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 
@@ -61,7 +64,8 @@ class Pretokenizer:
         self._table = np.zeros(0x110000, np.uint8)
         self._table[32] = SPACE  # joins what follows, so the probe can't tell
 
-    def _classes(self, points: np.ndarray) -> np.ndarray:
+    def classes(self, points: np.ndarray) -> np.ndarray:
+        """The class of each code point."""
         found = self._table[points]
         if not found.all():
             for c in np.unique(points[found == UNKNOWN]).tolist():
@@ -79,7 +83,7 @@ class Pretokenizer:
         n = len(points)
         if n == 0:
             return np.zeros(0, bool)
-        cls = self._classes(points)
+        cls = self.classes(points)
         last = np.empty(n, bool)
         last[:-1], last[-1] = first[1:], True
         before = np.empty(n, np.uint8)
