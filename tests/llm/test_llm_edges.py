@@ -116,6 +116,28 @@ def test_packing_of_odd_texts(spark):
         check_packing(rows, {i: t or "" for i, t in enumerate(TEXTS)}, Tokenizer.from_file(queries.TOKENIZER))
 
 
+@pytest.mark.parametrize("targets", [None, {"s1": 2.0, "s3": 0.7, "absent": 5.0}])
+def test_packing_by_sorted_slots_equals_the_closed_form(spark, monkeypatch, targets):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices(["alpha", "beta", "gamma", "12", "é"], k=rng.choice([0, 3, 40, 700]))) for _ in range(150)]
+    rows = [(i, t, f"s{min(rng.randrange(14), rng.randrange(14))}") for i, t in enumerate(texts)]
+    d = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING").repartition(5)
+    want = packing.pack_documents(d, queries.TOKENIZER, targets=targets).collect()
+    monkeypatch.setattr(packing, "MAX_QUEUES", 3)
+    monkeypatch.setattr(packing, "SORT_SLOTS", 40)
+    got = packing.pack_documents(d, queries.TOKENIZER, targets=targets).collect()
+    assert sorted(got) == sorted(want) and len(want) > 150
+
+
+def test_packing_of_more_queues_than_the_closed_form_takes(spark):
+    from tokenizers import Tokenizer
+
+    texts = {i: f"page {i} of its own site" for i in range(packing.MAX_QUEUES + 4)}
+    rows = [(i, t, f"site{i}.example") for i, t in texts.items()]
+    d = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING")
+    check_packing(packing.pack_documents(d, queries.TOKENIZER).collect(), texts, Tokenizer.from_file(queries.TOKENIZER))
+
+
 def test_rank_encoder_equals_the_library():
     from tokenizers import Tokenizer
 

@@ -15,6 +15,11 @@ plus the totals of the tasks before; that table (one row per task and queue)
 carries the deficits across partitions.  No token is shuffled, no order over
 the corpus is sequential, and the driver sees one row per queue.
 
+The closed form sums over all queues, so it serves up to ``MAX_QUEUES`` of
+them.  With more, the same order comes from a range sort of the slots by round,
+queue and number: a slot's place is the running sum of the slots' tokens.  The
+encoded documents are then shuffled once, to meet the places of their slots.
+
 Sequences are ``window`` tokens, filled without gaps; documents are cut where
 a slot or sequence ends, and only the last sequence may be short.
 """
@@ -22,6 +27,7 @@ a slot or sequence ends, and only the last sequence may be short.
 from __future__ import annotations
 
 import json
+import math
 import zlib
 
 import numpy as np
@@ -35,9 +41,10 @@ from tillroll.llm.encoding import CachedEncoder, RankEncoder, ranks_of
 from tillroll.llm.pretoken import Pretokenizer, probe_of_tokenizers
 from tillroll.session import scratch_path
 
-MAX_QUEUES = 4096
+MAX_QUEUES = 4096  # of the closed form; with more queues the slots are sorted
 UNIT = 1 << 16  # deficits are counted in 1/UNIT tokens
 BROADCAST_ROWS = 200_000  # of the offsets table; beyond that it is joined by shuffle
+SORT_SLOTS = 200_000  # in a task of the sort
 
 
 def tokenizer_encoder(file: bytes) -> CachedEncoder | RankEncoder:
@@ -130,36 +137,79 @@ class Schedule:
         return rank * self.slot - self._missing[np.searchsorted(self._ends, rank)]
 
     def pieces(self, queue: np.ndarray, start: np.ndarray, n: np.ndarray):
-        """Cut documents (``n`` tokens from ``start`` in ``queue``) into pieces.
-
-        Arrays ``doc, begin, length, place``: index of the document, first
-        token in it, tokens, and place of the first token in the output.
-        """
-        first, last = start // self.slot, (start + n - 1) // self.slot
-        many = np.where(n > 0, last - first + 1, 0)
-        doc = np.repeat(np.arange(len(n)), many)
-        k = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many) + first[doc]
-        low = np.maximum(start[doc], k * self.slot)
-        high = np.minimum((start + n)[doc], (k + 1) * self.slot)
-        place = self.position(queue[doc], k) + low - k * self.slot
-        begin, length = low - start[doc], high - low
-        # a slot that moved up may lie across two sequences
-        room = self.window - place % self.window
-        over = length > room
-        doc2, begin2, length2, place2 = doc[over], (begin + room)[over], (length - room)[over], (place + room)[over]
-        length = np.minimum(length, room)
-        doc, begin = np.concatenate([doc, doc2]), np.concatenate([begin, begin2])
-        length, place = np.concatenate([length, length2]), np.concatenate([place, place2])
-        order = np.lexsort((begin, doc))
-        doc, begin, length, place = doc[order], begin[order], length[order], place[order]
-        # neighbours in the document and in the same sequence are one piece
-        new = np.ones(len(doc), bool)
-        new[1:] = ((doc[1:] != doc[:-1]) | (place[1:] != place[:-1] + length[:-1])
-                   | (place[1:] % self.window == 0))
-        at = np.flatnonzero(new)
-        if not len(at):
-            return doc, begin, length, place
-        return doc[at], begin[at], np.add.reduceat(length, at), place[at]
+        """Pieces of documents (``n`` tokens from ``start`` in ``queue``)."""
+        return cut(start, n, self.slot, self.window, lambda doc, k: self.position(queue[doc], k))
+
+
+def cut(start: np.ndarray, n: np.ndarray, slot: int, window: int, position):
+    """Cut documents (``n`` tokens from ``start`` in their queue) into pieces.
+
+    ``position`` gives the tokens placed before slot ``k`` of the queue of
+    document ``doc``; it is asked for all slots in order of both.  Arrays
+    ``doc, begin, length, place``: index of the document, first token in it,
+    tokens, and place of the first token in the output.
+    """
+    first, last = start // slot, (start + n - 1) // slot
+    many = np.where(n > 0, last - first + 1, 0)
+    doc = np.repeat(np.arange(len(n)), many)
+    k = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many) + first[doc]
+    low = np.maximum(start[doc], k * slot)
+    high = np.minimum((start + n)[doc], (k + 1) * slot)
+    place = position(doc, k) + low - k * slot
+    begin, length = low - start[doc], high - low
+    # a slot that moved up may lie across two sequences
+    room = window - place % window
+    over = length > room
+    doc2, begin2, length2, place2 = doc[over], (begin + room)[over], (length - room)[over], (place + room)[over]
+    length = np.minimum(length, room)
+    doc, begin = np.concatenate([doc, doc2]), np.concatenate([begin, begin2])
+    length, place = np.concatenate([length, length2]), np.concatenate([place, place2])
+    order = np.lexsort((begin, doc))
+    doc, begin, length, place = doc[order], begin[order], length[order], place[order]
+    # neighbours in the document and in the same sequence are one piece
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (place[1:] != place[:-1] + length[:-1]) | (place[1:] % window == 0)
+    at = np.flatnonzero(new)
+    if not len(at):
+        return doc, begin, length, place
+    return doc[at], begin[at], np.add.reduceat(length, at), place[at]
+
+
+def quanta(queues: DataFrame, targets: dict[str, float] | None, window: int) -> DataFrame:
+    """``queue, total, quantum`` of ``queues(queue, tokens)``, as :class:`Schedule` has them."""
+    if targets:
+        named = queues.sparkSession.createDataFrame(list(targets.items()), "name string, target double")
+        queues = queues.join(named, queues["queue"] == named["name"], "left")
+        least = min(targets.values())
+        others = queues.where("name is null").count()
+        present = queues.where("name is not null").select("target").collect()
+        weight, whole = F.coalesce("target", F.lit(float(least))), math.fsum([r[0] for r in present] + [least * others])
+    else:
+        weight, whole = F.col("tokens").cast("double"), float(queues.agg(F.sum("tokens")).first()[0])
+    quantum = F.greatest(F.lit(1), F.rint(weight / F.lit(whole) * window * UNIT).cast("bigint"))
+    return queues.select("queue", F.col("tokens").alias("total"), quantum.alias("quantum"))
+
+
+def sorted_places(docs: DataFrame, n_slots: int, slot: int) -> DataFrame:
+    """Places of the slots of ``docs(queue, start, n, total, quantum)``: ``queue, k, place``.
+
+    Every slot is made once, from the document in which it begins.
+    """
+    begin, end = F.expr(f"(start + {slot - 1}) div {slot}"), F.expr(f"(start + n - 1) div {slot}")
+    slots = (docs.where(begin <= end).select("queue", "total", "quantum", F.explode(F.sequence(begin, end)).alias("k"))
+             .select("queue", "k", F.least(F.lit(slot), F.col("total") - F.col("k") * slot).alias("tokens"),
+                     F.expr(f"((k + 1) * {slot * UNIT} + quantum - 1) div quantum").alias("turn")))
+    path = scratch_path(docs.sparkSession, "packing-slots")
+    (slots.repartitionByRange(n_slots // SORT_SLOTS + 1, "turn", "queue", "k")
+     .withColumn("part", F.spark_partition_id()).write.parquet(path))
+    slots = docs.sparkSession.read.parquet(path)
+    inside = Window.partitionBy("part").orderBy("turn", "queue", "k").rowsBetween(Window.unboundedPreceding, -1)
+    parts = Window.orderBy("of").rowsBetween(Window.unboundedPreceding, -1)  # one row per task of the sort
+    sums = slots.groupBy(F.col("part").alias("of")).agg(F.sum("tokens").alias("held"))
+    sums = sums.select("of", F.coalesce(F.sum("held").over(parts), F.lit(0)).alias("base"))
+    slots = slots.select("queue", "k", "part", F.coalesce(F.sum("tokens").over(inside), F.lit(0)).alias("before"))
+    return slots.join(F.broadcast(sums), F.col("part") == F.col("of")).select(
+        "queue", "k", (F.col("base") + F.col("before")).alias("place"))
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = 1024, slot: int = 256,
@@ -174,8 +224,9 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = 1024, slo
     ``queue``.  A null or empty text is just the end id; a null queue is the
     queue ''; repeated rows are packed as often as they occur; an empty table
     gives no rows; other columns are not read.  The encoded documents are
-    written to the checkpoint folder once, when this is called.  More than
-    ``MAX_QUEUES`` queues are an error, since a mixture has to name them.
+    written to the checkpoint folder once, when this is called.  There may be
+    any number of queues; with more than ``MAX_QUEUES`` the slots are written,
+    too.
     """
     if slot > window:
         raise ValueError("a slot must fit into a window")
@@ -189,29 +240,43 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = 1024, slo
     blocks = coded.groupBy("block", "queue").agg(F.sum("n").alias("tokens"))
     queues = blocks.groupBy("queue").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows"))
     found = sorted(queues.limit(MAX_QUEUES + 1).collect(), key=lambda r: r["queue"])
-    if len(found) > MAX_QUEUES:
-        raise ValueError(f"more than {MAX_QUEUES} queues; map the sources to fewer groups")
+    many = len(found) > MAX_QUEUES
     least = min(targets.values()) if targets else 0
     if targets and least <= 0:
         raise ValueError("targets must be positive")
-    number = {r["queue"]: i for i, r in enumerate(found)}
+    number = {} if many else {r["queue"]: i for i, r in enumerate(found)}
     weights = [targets.get(r["queue"], least) if targets else r["tokens"] for r in found]
-    schedule = Schedule([r["tokens"] for r in found], weights or [1], slot, window) if found else None
+    schedule = Schedule([r["tokens"] for r in found], weights or [1], slot, window) if number else None
 
     before = Window.partitionBy("queue").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select("block", "queue", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"))
-    if sum(r["rows"] for r in found) <= BROADCAST_ROWS:
+    if many:
+        offsets = offsets.join(quanta(queues, targets, window), "queue")
+    elif sum(r["rows"] for r in found) <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
+    extra = ["total", "quantum"] if many else []
     placed = coded.join(offsets, ["block", "queue"]).select(
-        "id", "queue", (F.col("base") + F.col("at")).alias("start"), "n", "ids")
+        "id", "queue", (F.col("base") + F.col("at")).alias("start"), "n", "ids", *extra)
+    if many:
+        n_slots = queues.agg(F.sum(F.expr(f"(tokens + {slot - 1}) div {slot}"))).first()[0]
+        touched = F.explode(F.sequence(F.expr(f"start div {slot}"), F.expr(f"(start + n - 1) div {slot}"))).alias("k")
+        # a queue and a start are one document, since each has at least the end id
+        places = (placed.select("queue", "start", touched).join(sorted_places(placed, n_slots, slot), ["queue", "k"])
+                  .groupBy("queue", "start").agg(F.array_sort(F.collect_list(F.struct("k", "place"))).alias("slots")))
+        placed = placed.drop(*extra).join(places, ["queue", "start"]).select(
+            "id", "queue", "start", "n", "ids", F.col("slots.place").alias("places"))
 
     def run(batches):
         for batch in batches:
             start = np.asarray(batch.column(2).to_pylist(), np.int64)
             n = np.asarray(batch.column(3).to_pylist(), np.int64)
             names, ids = batch.column(1).to_pylist(), batch.column(4).to_pylist()
-            queue = np.array([number[q] for q in names], np.int64)
-            doc, begin, length, place = schedule.pieces(queue, start, n)
+            if schedule:
+                queue = np.array([number[q] for q in names], np.int64)
+                doc, begin, length, place = schedule.pieces(queue, start, n)
+            else:
+                places = np.asarray(batch.column(5).flatten())
+                doc, begin, length, place = cut(start, n, slot, window, lambda doc, k: places)
             sums = [zlib.crc32(memoryview(ids[d])[4 * b:4 * (b + k)])
                     for d, b, k in zip(doc.tolist(), begin.tolist(), length.tolist())]
             at = pa.array(doc)
