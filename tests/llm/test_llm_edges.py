@@ -248,6 +248,19 @@ def test_near_duplicates_equal_brute_force(spark):
     assert kept == sorted(i for i, x in brute_components(texts, 5).items() if x[2])
 
 
+def test_near_duplicates_at_the_limit_with_few_equal_coordinates(spark):
+    texts = {}
+    for seed in (4408, 5207, 6375, 9462, 9642, 19289):  # 8 of 10 shingles in common, 37 to 39 equal coordinates
+        rng = random.Random(seed)
+        words = [f"w{rng.randrange(10 ** 6)}" for _ in range(13)]
+        texts |= {2 * seed: " ".join(words), 2 * seed + 1: " ".join(words[:11])}
+        a, b = (minhash.shingle_set(texts[2 * seed + i].encode()) for i in (0, 1))
+        assert minhash.jaccard(a, b) == (8, 10) and (minhash.signature(a) == minhash.signature(b)).sum() < 40
+    d = spark.createDataFrame(list(texts.items()), "doc_id BIGINT, text STRING")
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(d).collect()}
+    assert got == brute_components(texts)
+
+
 def test_near_duplicates_of_empty_and_null(spark):
     got = minhash.near_duplicates(frame(spark)).collect()
     by_id = {r.doc_id: r for r in got}
