@@ -1,7 +1,9 @@
 """Defined results for nulls, empty and long texts, ties, repeats, empty tables and clashing columns."""
 
 import json
+import os
 import random
+import shutil
 import struct
 
 import numpy as np
@@ -194,6 +196,27 @@ def test_exact_dedup_continues_its_state(spark, tmp_path):
     assert kept == [(False, -4, 2), (False, 1, 2), (True, 0, 1)]
 
 
+def test_exact_dedup_continues_with_files_of_any_age(spark, tmp_path):
+    path, state = written(spark, tmp_path, frame(spark, ["x", "y"])), str(tmp_path / "state")
+    schema = schema_of("documents")
+    exact_dedup.dedup_table(spark, path, schema, state_dir=state)
+    old = tmp_path / "old"
+    spark.createDataFrame([(-4, "x", "en", "s", 1), (9, "z", "en", "s", 1)], schema).coalesce(1).write.parquet(str(old))
+    file = next(old.glob("*.parquet"))
+    added = shutil.copy(file, f"{path}/{file.name}")
+    os.utime(added, (10 ** 9, 10 ** 9))
+    got = {r.doc_id: (r.keep_id, r.group_size) for r in exact_dedup.dedup_table(
+        spark, path, schema, state_dir=state).collect()}
+    assert (got[0], got[-4], got[9]) == ((-4, 2), (-4, 2), (9, 1))
+
+
+def test_exact_dedup_without_a_state_entry_is_an_error(spark, tmp_path, monkeypatch):
+    whole = exact_dedup.read_state
+    monkeypatch.setattr(exact_dedup, "read_state", lambda *a: whole(*a).where("n > 1"))
+    with pytest.raises(Exception, match="no state for a text"):
+        exact_dedup.dedup_table(spark, written(spark, tmp_path, frame(spark)), schema_of("documents")).collect()
+
+
 def test_exact_dedup_of_an_empty_table(spark, tmp_path):
     assert exact_dedup.dedup_table(spark, written(spark, tmp_path, empty(spark)), schema_of("documents")).collect() == []
 

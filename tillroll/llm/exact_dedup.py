@@ -31,6 +31,10 @@ _STATE = {"spark.sql.streaming.stateStore.providerClass":
           "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
           "spark.sql.streaming.stateStore.unloadOnCommit": "true"}
 
+# Files of any modification time are read: by default the stream passes over
+# those that are a week older than the newest one it has seen.
+MAX_FILE_AGE = "36500d"
+
 
 def normalised(text: Column) -> Column:
     """Text with every run of ASCII white space as one space; null is empty."""
@@ -63,6 +67,7 @@ def update_state(spark: SparkSession, path: str, schema: str, state_dir: str, id
     try:
         # as a pattern, since a stream takes a plain path for a folder
         rows = (spark.readStream.schema(schema).option("maxBytesPerTrigger", str(max_bytes_per_batch))
+                .option("maxFileAge", MAX_FILE_AGE)
                 .parquet(f"{path[:-1]}[{path[-1]}]"))
         state = (_keyed(rows, id_col, text_col, digest).groupBy("digest")
                  .agg(F.min(_order()).alias("first"), F.count(F.lit(1)).alias("n")))
@@ -96,8 +101,9 @@ def dedup_table(spark: SparkSession, path: str, schema: str, id_col: str = "doc_
     update_state(spark, path, schema, state_dir, id_col, text_col, digest)
     state = read_state(spark, state_dir).withColumnRenamed("digest", "key")
     rows = _keyed(spark.read.schema(schema).parquet(path), id_col, text_col, digest)
-    joined = rows.join(state, rows["digest"] == state["key"]).select(
-        "id", "digest", "place", "first", "n",
+    missing = F.raise_error(F.concat(F.lit("no state for a text of "), F.col("place.file")))
+    joined = rows.join(state, rows["digest"] == state["key"], "left").select(
+        "id", "digest", "place", "first", F.when(F.col("key").isNull(), missing.cast("long")).otherwise(F.col("n")).alias("n"),
         (F.col("digest") if digest is sha256_digest else F.sha2("norm", 256)).alias("sha"),
         F.when(F.col("n") > 1, F.col("norm")).alias("norm"))
     found = scratch_path(spark, "dedup-hits")
