@@ -15,10 +15,10 @@ between blocks.
 Texts are read in lockstep: a block of texts is one byte stream cut into
 equal chunks, and one numpy step moves all chunks by a byte.  The map of a
 chunk from entry state to exit state is constant once the chunk holds a start
-of a pre-token, where the transducer is reset.  The maps are composed by a
-prefix scan: the exits of such chunks are known at once and fix the entries
-of their neighbours; a chunk inside one very long pre-token passes its
-neighbour's exit through in a further round.
+of a pre-token, where the transducer is reset.  The exits of such chunks are
+known at once and fix the entries of their neighbours.  Other maps are not
+built: the chunks inside one very long pre-token are read one after another,
+each from the exit of the chunk before it.
 """
 
 from __future__ import annotations
@@ -196,7 +196,7 @@ class CountingTransducer:
         known = resets.any(axis=0)
         head = np.where(known, resets.argmax(axis=0), size)
 
-        # scan: a head is read as soon as the exit of the chunk before is known
+        # carry: a head is read as soon as the exit of the chunk before is known
         todo = np.flatnonzero(head > 0)
         while len(todo):
             ready = known[todo - 1]
