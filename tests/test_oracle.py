@@ -26,6 +26,13 @@ def test_query_matches_oracle(spark, con, name):
     assert not problems, problems
 
 
+def test_raw_percent_is_compared_unrounded(spark, con):
+    rows = QUERIES["pair_rules_unrounded_percent"](spark, SF).collect()
+    want = {r[:2]: r[2:] for r in con.sql(ORACLES["pair_rules_unrounded_percent"]).fetchall()}
+    assert {(r.p1, r.p2): (r.support_pct, r.confidence_pct) for r in rows} == want
+    assert any(r.confidence_pct != round(r.confidence_pct, 6) for r in rows)
+
+
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["p1", "p2", "pair_count", "support", "confidence"]

@@ -193,6 +193,9 @@ FROM rules""",
 SELECT p1, p2,
        CAST(round(support * 100, 6) AS VARCHAR) || '%' AS support_pct,
        CAST(round(confidence * 100, 6) AS VARCHAR) || '%' AS confidence_pct
+FROM rules""",
+    "pair_rules_unrounded_percent": f"""WITH {ITEMS_BY_NAME}, {_rules(PAIRS_BY_NAME)}
+SELECT p1, p2, support * 100 AS support_pct, confidence * 100 AS confidence_pct
 FROM rules""",
     "one_pass_counts": f"""WITH {ITEMS_BY_NAME}, {PAIRS_POSITIONAL}
 SELECT 'pair' AS tag, p1, p2, pair_count AS n FROM pc

@@ -192,6 +192,13 @@ def q_pair_rules_raw_percent(spark, sf):
     return render.render_rules_raw(_rules(spark, sf, self_pairs=False), places=6)
 
 
+def q_pair_rules_unrounded_percent(spark, sf):
+    """The unrounded text; its number is read back, since engines print doubles differently."""
+    rows = render.render_rules_raw(_rules(spark, sf, self_pairs=False))
+    numbers = {c: F.regexp_extract(c, "^([0-9.E-]+)%$", 1).cast("double") for c in ("support_pct", "confidence_pct")}
+    return rows.select("p1", "p2", *[v.alias(c) for c, v in numbers.items()])
+
+
 GRID_HOT_ITEMS = 3  # receipts with more than 3 distinct items take the bucket grid
 
 
@@ -341,6 +348,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pair_rules_pct1": q_pair_rules_pct1,
     "pair_rules_pct2": q_pair_rules_pct2,
     "pair_rules_raw_percent": q_pair_rules_raw_percent,
+    "pair_rules_unrounded_percent": q_pair_rules_unrounded_percent,
     "pair_rules_grid": q_pair_rules_grid,
     "pair_counts_events_grid": q_pair_counts_events_grid,
     "pair_rules_stepwise": q_pair_rules_stepwise,
