@@ -27,6 +27,7 @@ _COLUMNS = {
     "labels": "doc_id BIGINT, quality INT, toxic INT",
     "pages": "page_id BIGINT, url STRING, html STRING",
     "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+    "benchmark": "item_id BIGINT, text STRING",
 }
 
 

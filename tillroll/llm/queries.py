@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import (byte_bpe, chat, classifier, exact_dedup, line_dedup, minhash, packing, quality_rules,
+from tillroll.llm import (byte_bpe, chat, classifier, exact_dedup, lexical_search, line_dedup, minhash, packing, quality_rules,
                           token_counts, warc)
 from tillroll.llm.common import schema_of, table
 from tillroll.session import scratch_path
@@ -83,9 +83,14 @@ def op10_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf, "documents"))
 
 
+def op12_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The 20 best documents of every benchmark item, of all documents."""
+    return lexical_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_warc, op3_chat, op4_byte_bpe, op5_exact_dedup, op6_packing, op7_classifier,
-    op8_line_dedup, op9_token_counts, op10_minhash)}
+    op8_line_dedup, op9_token_counts, op10_minhash, op12_lexical_search)}
 
 ORACLES = {
     "op2_warc": """
@@ -141,4 +146,29 @@ ORACLES = {
                coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (gone.i IS NULL), '') AS text
         FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.i = gone.i GROUP BY l.doc_id
         UNION ALL SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL""",
+    "op12_lexical_search": r"""
+        WITH t AS (
+            SELECT doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+        b AS (
+            SELECT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+        asked AS (SELECT item_id, term, count(*) AS times FROM b GROUP BY ALL),
+        tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+        len AS (SELECT doc_id, count(*) AS n FROM t GROUP BY ALL),
+        total AS (SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS length FROM len),
+        w AS (
+            SELECT term, CAST(floor(1000 * ln((2 * documents + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM tf, total GROUP BY term, documents),
+        m AS (SELECT doc_id, 75 + (25 * n * documents) // length AS m FROM len, total),
+        scored AS (
+            SELECT item_id, doc_id,
+                   CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+            FROM asked JOIN tf USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+        ranked AS (
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank,
+                   doc_id, score FROM scored WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20""",
 }
