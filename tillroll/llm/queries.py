@@ -10,9 +10,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import (byte_bpe, chat, classifier, exact_dedup, lexical_search, line_dedup, minhash, packing, quality_rules,
-                          token_counts, warc)
-from tillroll.llm.common import schema_of, table
+from tillroll.llm import (byte_bpe, chat, classifier, exact_dedup, lexical_search, line_dedup, minhash, packing,
+                          periodic_runs, quality_rules, token_counts, warc)
+from tillroll.llm.common import schema_of, table, WORD_GAP
 from tillroll.session import scratch_path
 
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -83,6 +83,36 @@ def op10_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf, "documents"))
 
 
+def _with_tails(docs: DataFrame) -> DataFrame:
+    """Documents whose crc32 ends in 0 repeat a part of themselves up to their end (fixed by the contract)."""
+    words = F.filter(F.split("text", WORD_GAP), lambda w: w != "")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    a = (F.col("g") % n).cast("int")
+    p = (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
+    tails = (docs.select("doc_id", "text", h.alias("h"))
+             .select("*", F.when(F.col("h") % 10 == 0, words).alias("words"), g.alias("g"))
+             .select("*", F.when(n > 0, a).alias("a")).select("*", p.alias("p")))
+    tail = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, "p"), F.ceil((n - F.col("a")) / F.col("p")).cast("int")))
+    repeated = F.concat(F.slice("words", F.lit(1), "a"), F.slice(tail, F.lit(1), n - F.col("a")))
+    return tails.select("doc_id", F.when(n > 0, F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """The runs of every document, and its text with each run collapsed to one period."""
+    found = periodic_runs.periodic_runs(_with_tails(table(spark, sf, "documents")))
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    greatest = F.reduce("runs", none, lambda best, r: F.when(
+        best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r).otherwise(best))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(lines, lambda r: F.concat(r, F.lit("\n"))), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), greatest.alias("top"), F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256")).select(
+        "doc_id", "n_runs", "top.start", "top.length", "top.period",
+        F.floor(1000 * F.col("top.length") / F.col("top.period")).alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 def op12_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
     """The 20 best documents of every benchmark item, of all documents."""
     return lexical_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
@@ -90,7 +120,8 @@ def op12_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_warc, op3_chat, op4_byte_bpe, op5_exact_dedup, op6_packing, op7_classifier,
-    op8_line_dedup, op9_token_counts, op10_minhash, op12_lexical_search)}
+    op8_line_dedup, op9_token_counts, op10_minhash,
+    op11_periodic_runs, op12_lexical_search)}
 
 ORACLES = {
     "op2_warc": """
@@ -146,6 +177,42 @@ ORACLES = {
                coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (gone.i IS NULL), '') AS text
         FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.i = gone.i GROUP BY l.doc_id
         UNION ALL SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL""",
+    "op11_periodic_runs": r"""
+        WITH d AS (
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+                   xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+                       list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+                       lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)),
+                           lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) AS h
+            FROM documents),
+        g AS (SELECT *, len(w) AS n, h // 10 AS g, (h // 10) % len(w) AS a FROM d),
+        p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM g),
+        r AS (
+            SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i:
+                       w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE w END AS w FROM p),
+        t AS (SELECT doc_id, n, unnest(range(n)) AS i, unnest(w) AS word FROM r),
+        pairs AS (
+            SELECT x.doc_id, y.i - x.i AS q, x.i,
+                   x.i - row_number() OVER (PARTITION BY x.doc_id, y.i - x.i ORDER BY x.i) AS island
+            FROM t x JOIN t y ON x.doc_id = y.doc_id AND x.word = y.word AND x.i < y.i AND 3 * (y.i - x.i) <= x.n),
+        stretches AS (
+            SELECT doc_id, q, min(i) AS s, count(*) + q AS length FROM pairs GROUP BY doc_id, q, island
+            HAVING count(*) + q >= greatest(24, 3 * q)),
+        runs AS (SELECT doc_id, s, length, min(q) AS q FROM stretches GROUP BY doc_id, s, length),
+        tops AS (
+            SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length / q DESC, s, q) AS place FROM runs),
+        listed AS (
+            SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || length || ',' || q || chr(10), '' ORDER BY s, q) AS said
+            FROM runs GROUP BY doc_id),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + length)) AS i FROM runs),
+        kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS said
+            FROM t WHERE NOT EXISTS (FROM gone WHERE gone.doc_id = t.doc_id AND gone.i = t.i) GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, tops.s AS start, tops.length, tops.q AS period,
+               (1000 * tops.length) // tops.q AS exponent_milli, sha256(coalesce(listed.said, '')) AS runs_sha256,
+               sha256(coalesce(kept.said, '')) AS collapsed_sha256
+        FROM d LEFT JOIN listed ON d.doc_id = listed.doc_id LEFT JOIN kept ON d.doc_id = kept.doc_id
+             LEFT JOIN tops ON d.doc_id = tops.doc_id AND tops.place = 1""",
     "op12_lexical_search": r"""
         WITH t AS (
             SELECT doc_id, unnest(regexp_extract_all(
