@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import (byte_bpe, chat, classifier, exact_dedup, lexical_search, line_dedup, minhash, packing,
+from tillroll.llm import (byte_bpe, chat, classifier, exact_dedup, html_extraction, lexical_search, line_dedup, minhash, packing,
                           periodic_runs, quality_rules, token_counts, warc)
 from tillroll.llm.common import schema_of, table, WORD_GAP
 from tillroll.session import scratch_path
@@ -118,10 +118,16 @@ def op12_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
     return lexical_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op13_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    """The main text of every page by boosted trees fitted on a sample of the pages."""
+    pages = table(spark, sf, "pages")
+    return html_extraction.extract(pages, html_extraction.fit(pages))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_warc, op3_chat, op4_byte_bpe, op5_exact_dedup, op6_packing, op7_classifier,
     op8_line_dedup, op9_token_counts, op10_minhash,
-    op11_periodic_runs, op12_lexical_search)}
+    op11_periodic_runs, op12_lexical_search, op13_html_extraction)}
 
 ORACLES = {
     "op2_warc": """
