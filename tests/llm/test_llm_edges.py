@@ -271,6 +271,33 @@ def test_near_duplicates_equal_brute_force(spark):
     assert kept == sorted(i for i, x in brute_components(texts, 5).items() if x[2])
 
 
+def test_near_copies_around_the_limit_of_one_text(spark):
+    """Copies with up to eight changed, left out or added words: many are similar to a few others only."""
+    rng = random.Random(12)
+    word = lambda: f"w{rng.randrange(500)}"
+    base, texts = [word() for _ in range(120)], {}
+    for i in range(400):
+        copy = list(base)
+        for _ in range(rng.randrange(1, 9)):
+            at = rng.randrange(len(copy))
+            copy[at:at + 1] = rng.choice(([], [word()], [copy[at], word()]))
+        texts[i] = " ".join(copy)
+    d = spark.createDataFrame(list(texts.items()), "doc_id BIGINT, text STRING")
+    want = brute_components(texts)
+    assert 50 < len({x[1] for x in want.values()}) < 350
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(d).collect()}
+    assert got == want
+
+
+def test_bloom_filter_has_all_its_values(spark):
+    values = [-(2 ** 63), -1, 0, 1, 2 ** 63 - 1, *range(1000, 9000, 7)]
+    filled = minhash.Bloom.of(spark.createDataFrame([(v,) for v in values], "x BIGINT").repartition(3), "x", len(values))
+    assert filled.has(np.array(values)).all()
+    assert filled.has(np.arange(10 ** 6, 10 ** 6 + 10_000)).mean() < 0.2
+    empty = minhash.Bloom.of(spark.createDataFrame([], "x BIGINT"), "x", 0)
+    assert not empty.has(np.arange(100)).any()
+
+
 def test_near_duplicates_at_the_limit_with_few_equal_coordinates(spark):
     texts = {}
     for seed in (4408, 5207, 6375, 9462, 9642, 19289):  # 8 of 10 shingles in common, 37 to 39 equal coordinates

@@ -15,15 +15,22 @@ collisions counted over all coordinates; pairs with ``matches`` or more are
 confirmed on the full sets.
 
 Lists may still be long, for thousands of near copies.  No list is expanded
-into all its pairs: a first round pairs every member with the most typical
-class of its list and joins confirmed pairs to components.  From then on only
-members of different components are paired, since a link inside a component
-changes nothing.  While many such pairs are left and each round halves them,
-further rounds pair members with a few typical classes of other components (the
-lists are dealt anew to buckets with a leader each), at a cost in proportion to
-the members.  The last round tries all pairs that are left but those that can't
-be similar: an intersection is at most the shingles that other sets of these
-lists have too.  So no link that the signatures show is lost.
+into all its pairs: every member is paired with the most typical class of each
+of its lists, and confirmed pairs join to components.  A link inside a component
+changes nothing, so only members of lists that still hold several components
+are looked at again, now by their full sets: each set is ordered by rising
+frequency among these members, and a shingle is posted only while a pair can
+still be similar if it is the first one that both have (prefix and length
+filters: both sets must have as many shingles left as the two sizes ask for).
+In each list the members outside its largest component meet the others of
+other components, never the largest component itself.  These filters are
+exact, so no link that the signatures show is lost.
+
+Sets are made only of classes that have a partner in the index, and rows go to a
+shuffle only if a Bloom filter of the shared values has them.  The filter has 8
+bits a value and at most ``BLOOM_BITS`` = 2**28 (32 MB); what it lets through
+in vain is taken out by the join behind it, so a fuller filter costs time only.
+Intermediates are tables in the checkpoint folder, deleted once they are read.
 
 With k = 64 and matches = 36, a pair at the limit 0.8 has 51 equal
 coordinates on average and fewer than 36 with a probability of 4.2e-6
@@ -40,14 +47,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import map_arrow, utf8_values
-from tillroll.session import scratch_path, scratch_root
+from tillroll.session import Scope
 
 WORDS, SIMILARITY = 4, 0.8
 COORDINATES, MATCHES = 64, 36
 MAX_ROUNDS = 100
-# Further rounds: leaders of a list in each, and pairs per member of a list
-# that are left to the last round at once.
-LEADERS, SPARE_PAIRS = 4, 4
+BLOOM_BITS, BLOOM_BITS_EACH, BLOOM_HASHES = 1 << 28, 8, 2
 
 _rng = np.random.default_rng(20_240_501)
 _MIX = (_rng.integers(1, 1 << 62, 16, np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -107,90 +112,186 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, k: int) -> DataFrame:
-    """``id, n, digest, keys`` of every row; ``keys`` are the coordinates with
-    their values as numbers, ``digest`` identifies the set (null: empty)."""
+    """``id, n, digest, sig`` of every row; ``sig`` holds the coordinates as
+    32-bit numbers, ``digest`` identifies the set (null: empty)."""
     id_type = dict(docs.select(id_col).dtypes)[id_col]
 
     def run(batches):
-        coordinate = np.arange(k, dtype=np.int64) << 32
         for batch in batches:
-            n, digests, keys = [], [], []
+            n, digests, sigs = [], [], []
             for text in utf8_values(batch.column(1)):
                 s = shingle_set(text, words)
                 n.append(len(s))
                 digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                keys.append(coordinate | signature(s, k) if len(s) else None)
+                sigs.append(signature(s, k).astype("<u4").tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64()))], ["id", "n", "digest", "keys"])
+                 pa.array(sigs, pa.binary())], ["id", "n", "digest", "sig"])
 
     return map_arrow(docs.select(docs[id_col], docs[text_col]), run,
-                     f"id {id_type}, n bigint, digest binary, keys array<bigint>")
+                     f"id {id_type}, n bigint, digest binary, sig binary")
 
 
-def full_sets(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """``id, shingles`` (sorted 64-bit hashes as bytes) of every row."""
+def full_sets(docs: DataFrame, id_col: str, text_col: str, words: int, wanted: Bloom) -> DataFrame:
+    """``id, shingles`` (sorted 64-bit hashes as bytes) of the rows that the filter has."""
     id_type = dict(docs.select(id_col).dtypes)[id_col]
 
     def run(batches):
         for batch in batches:
-            sets = [shingle_set(t, words).tobytes() for t in utf8_values(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "shingles"])
+            at = pa.array(np.flatnonzero(wanted.has(batch.column(2).to_numpy())))
+            sets = [shingle_set(t, words).tobytes() for t in utf8_values(batch.column(1).take(at))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array(sets, pa.binary())], ["id", "shingles"])
+
+    return map_arrow(docs.select(docs[id_col], docs[text_col], F.xxhash64(docs[id_col])), run,
+                     f"id {id_type}, shingles binary")
+
+
+class Bloom:
+    """A Bloom filter of 64-bit numbers, of a size bounded by ``BLOOM_BITS``."""
+
+    def __init__(self, bits: int, words: np.ndarray):
+        self.bits, self.words = bits, words
+
+    @staticmethod
+    def places(x: np.ndarray, bits: int) -> list[np.ndarray]:
+        h = _spread(x.astype(np.int64).view(np.uint64) * _MIX[12])
+        return [((h >> np.uint64(32 * i)) & np.uint64(0xFFFFFFFF)) % np.uint64(bits) for i in range(BLOOM_HASHES)]
+
+    @classmethod
+    def of(cls, values: DataFrame, column: str, count: int) -> Bloom:
+        """Of a BIGINT column with about ``count`` values: each task sets the bits
+        of its rows, and equal words of the tasks are united in a shuffle."""
+        bits = 1 << 16
+        while bits < min(count * BLOOM_BITS_EACH, BLOOM_BITS):
+            bits *= 2
+
+        def run(batches):
+            words = np.zeros(bits // 64, np.uint64)
+            for batch in batches:
+                for place in cls.places(batch.column(0).to_numpy(), bits):
+                    np.bitwise_or.at(words, (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
+            at = np.flatnonzero(words)
+            for low in range(0, len(at), 1 << 16):
+                part = at[low:low + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(words[part].view(np.int64))],
+                                                 ["word", "value"])
+
+        rows = map_arrow(values.select(column), run, "word bigint, value bigint").groupBy("word").agg(F.bit_or("value").alias("value"))
+        found = rows.toArrow()
+        words = np.zeros(bits // 64, np.uint64)
+        words[found["word"].to_numpy()] = found["value"].to_numpy().view(np.uint64)
+        return cls(bits, words)
+
+    def has(self, x: np.ndarray) -> np.ndarray:
+        out = np.ones(len(x), bool)
+        for place in self.places(x, self.bits):
+            out &= (self.words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) != 0
+        return out
+
+
+def _keys(batch_column: pa.Array, k: int) -> np.ndarray:
+    """(rows, k) postings of signatures: the coordinate's number and its value."""
+    values = np.frombuffer(b"".join(batch_column.to_pylist()), "<u4").reshape(-1, k).astype(np.int64)
+    return (np.arange(k, dtype=np.int64) << 32) | values
 
-    return map_arrow(docs.select(docs[id_col], docs[text_col]), run, f"id {id_type}, shingles binary")
 
+def index(classes: DataFrame, k: int, matches: int, scope: Scope) -> tuple[DataFrame, DataFrame]:
+    """Classes that may have a partner.
+
+    Returns ``id, prefix, weight``: the keys under which they are posted (the
+    rarest of those shared with others), and the sum of the shared keys'
+    frequencies, which says how typical the class is; and ``id, sig`` of these
+    classes and a few more.
+    """
+    id_type = dict(classes.dtypes)["id"]
+
+    def post(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_keys(batch.column(0), k).ravel())], ["key"])
 
-def index(classes: DataFrame, k: int, matches: int) -> DataFrame:
-    """Classes that may have a partner: ``id, keys`` (shared with others, rarest
-    first), ``prefix`` (keys under which they are posted), ``weight`` (sum of the
-    frequencies: how typical the class is)."""
-    posted = classes.select("id", F.explode("keys").alias("key"))
-    shared = (posted.groupBy("key").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
-              .select(F.col("key").alias("shared"), "f").checkpoint())
-    lists = (posted.join(shared, posted["key"] == shared["shared"])
-             .groupBy("id").agg(F.sort_array(F.collect_list(F.struct("f", "key"))).alias("l"), F.sum("f").alias("weight"))
+    shared = (map_arrow(classes.select("sig"), post, "key bigint").groupBy("key").agg(F.count(F.lit(1)).alias("f"))
+              .where("f > 1"))
+    shared = scope.keep(shared, "minhash-shared")
+    filled = Bloom.of(shared, "key", shared.count())
+
+    def passing(batch):
+        keys = _keys(batch.column(1), k)
+        has = filled.has(keys.ravel()).reshape(keys.shape)
+        has[has.sum(axis=1) < matches] = False
+        return keys, has
+
+    def posted(batches):
+        for batch in batches:
+            keys, has = passing(batch)
+            row, _ = np.nonzero(has)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(keys[has])], ["id", "key"])
+
+    def held(batches):
+        for batch in batches:
+            at = pa.array(np.flatnonzero(passing(batch)[1].any(axis=1)))
+            yield pa.RecordBatch.from_arrays([c.take(at) for c in batch.columns], ["id", "sig"])
+
+    classes = classes.select("id", "sig")
+    lists = map_arrow(classes, posted, f"id {id_type}, key bigint").join(shared.withColumnRenamed("key", "shared"), F.col("key") == F.col("shared"))
+    lists = (lists.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("f", "key"))).alias("l"), F.sum("f").alias("weight"))
              .where(F.size("l") >= matches))
-    return lists.select("id", F.col("l.key").alias("keys"), "weight",
-                        F.slice(F.col("l.key"), F.lit(1), F.size("l") - matches + 1).alias("prefix"))
-
-
-def confirm(pairs: DataFrame, found: DataFrame, sets: DataFrame, similarity: float, matches: int) -> DataFrame:
-    """The pairs ``a, b`` whose full sets are similar enough."""
-    keys = found.select("id", "keys")
-    counted = (pairs.join(keys.select(F.col("id").alias("a"), F.col("keys").alias("ka")), "a")
-               .join(keys.select(F.col("id").alias("b"), F.col("keys").alias("kb")), "b")
-               .where(F.size(F.array_intersect("ka", "kb")) >= matches).select("a", "b"))
-    counted = counted.checkpoint()
-    # only the sets that pairs need, so adaptive execution can broadcast them where they are small
-    wanted = counted.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = sets.join(wanted, "id", "left_semi")
-    both = (counted.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
-            .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
-            .select("a", "b", "sa", "sb"))
+    found = lists.select("id", "weight", F.slice(F.col("l.key"), F.lit(1), F.size("l") - matches + 1).alias("prefix"))
+    return (scope.keep(found, "minhash-found"),
+            scope.keep(map_arrow(classes, held, f"id {id_type}, sig binary"), "minhash-held"))
+
+
+def _filter_pairs(pairs: DataFrame, values: DataFrame, value: str, test) -> DataFrame:
+    """The pairs ``a, b`` whose ``values`` rows (by id) pass ``test(x, y)`` on lists of bytes."""
+    both = (pairs.join(values.select(F.col("id").alias("a"), F.col(value).alias("va")), "a")
+            .join(values.select(F.col("id").alias("b"), F.col(value).alias("vb")), "b").select("a", "b", "va", "vb"))
     id_type = dict(both.dtypes)["a"]
 
     def run(batches):
         for batch in batches:
-            keep = []
-            for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-                common, union = jaccard(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))
-                if round(100 * similarity) * union <= 100 * common:
-                    keep.append(i)
-            at = pa.array(keep, pa.int64())
+            at = pa.array(np.flatnonzero(test(batch.column(2).to_pylist(), batch.column(3).to_pylist())))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], ["a", "b"])
 
     return map_arrow(both, run, f"a {id_type}, b {id_type}")
 
 
-def components(links: DataFrame) -> DataFrame:
+def colliding(pairs: DataFrame, held: DataFrame, k: int, matches: int) -> DataFrame:
+    """The pairs with at least ``matches`` equal coordinates."""
+
+    def test(x, y):
+        x, y = (np.frombuffer(b"".join(v), "<u4").reshape(-1, k) for v in (x, y))
+        return (x == y).sum(axis=1) >= matches
+
+    return _filter_pairs(pairs, held, "sig", test)
+
+
+def confirm(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose full sets are similar enough.
+
+    Only the sets that pairs need go to the join.
+    """
+    hundredths = round(100 * similarity)
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+
+    def test(x, y):
+        out = np.zeros(len(x), bool)
+        for i, (a, b) in enumerate(zip(x, y)):
+            common, union = jaccard(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64))
+            out[i] = hundredths * union <= 100 * common
+        return out
+
+    return _filter_pairs(pairs, sets.join(wanted, "id", "left_semi"), "shingles", test)
+
+
+def components(links: DataFrame, scope: Scope) -> DataFrame:
     """Smallest reachable id of every linked id: ``id, component``.
 
     Alternates two steps that keep the components and flatten them to stars
     around their smallest id: every node's larger neighbours are linked to its
     smallest one, then every node's smaller neighbours and itself.  The round
-    ends when nothing changes; each step is a checkpoint.
+    ends when nothing changes; each round is a written table.
     """
-    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct().checkpoint()
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct()
+    edges = scope.keep(edges, "minhash-edges")
     before = None
     for _ in range(MAX_ROUNDS):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -201,7 +302,8 @@ def components(links: DataFrame) -> DataFrame:
         least = least.select(F.col("u").alias("w"), "m")
         edges = (edges.join(least, edges["u"] == least["w"])
                  .select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
-                         F.col("m").alias("v")).distinct().checkpoint())
+                         F.col("m").alias("v")).distinct())
+        edges = scope.keep(edges, "minhash-edges")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % (1 << 30))).first()
         if now == before:
             break
@@ -211,100 +313,95 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
 
-def _with_component(found: DataFrame, links: DataFrame) -> DataFrame:
-    comp = components(links).withColumnRenamed("id", "cid")
+def _with_component(found: DataFrame, links: DataFrame, scope: Scope) -> DataFrame:
+    comp = components(links, scope).withColumnRenamed("id", "cid")
     return found.join(comp, found["id"] == comp["cid"], "left").withColumn(
         "component", F.coalesce("component", "id")).drop("cid")
 
 
 def class_links(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int, similarity: float,
-                k: int, matches: int) -> DataFrame:
+                k: int, matches: int, scope: Scope) -> DataFrame:
     """Confirmed links ``a, b`` that connect all components of the classes."""
-    spark = classes.sparkSession
-    found = index(classes, k, matches).checkpoint()
-    wanted = found.select(F.col("id").alias("wanted"))
-    path = scratch_path(spark, "minhash-sets")
-    chosen = docs.join(wanted, docs[id_col] == wanted["wanted"], "left_semi")
-    full_sets(chosen, id_col, text_col, words).dropDuplicates(["id", "shingles"]).write.parquet(path)
-    sets = spark.read.parquet(path)
-
-    # round 1: everyone with the most typical class of each of its lists
+    found, held = index(classes, k, matches, scope)
+    wanted = Bloom.of(found.select(F.xxhash64("id").alias("h")), "h", found.count())
+    sets = scope.keep(full_sets(docs, id_col, text_col, words, wanted), "minhash-sets")
+
+    # everyone with the most typical class of each of its lists
     posted = found.select("id", "weight", F.explode("prefix").alias("key"))
     leaders = (posted.groupBy("key").agg(F.min(F.struct((-F.col("weight")).alias("w"), "id")).alias("top"),
                                          F.count(F.lit(1)).alias("n"))
-               .where("n > 1").select(F.col("key").alias("lead_key"), F.col("top.id").alias("lead")).checkpoint())
+               .where("n > 1").select(F.col("key").alias("lead_key"), F.col("top.id").alias("lead")))
     first = (posted.join(leaders, posted["key"] == leaders["lead_key"]).where(F.col("id") != F.col("lead"))
-             .select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct())
-    links = confirm(first, found, sets, similarity, matches).checkpoint()
-
-    # further rounds while they get on and many pairs are left: members with a few leaders of other components
-    lists, left, members = mixed_lists(found, links)
-    before, turn = float("inf"), 0
-    while SPARE_PAIRS * members < left < before / 2:
-        before, turn = left, turn + 1
-        bucket = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(LEADERS)).alias("bucket")
-        leaders = (lists.groupBy("key", bucket)
-                   .agg(F.min(F.struct((-F.col("weight")).alias("w"), "id", "component")).alias("top"))
-                   .select(F.col("key").alias("lead_key"), F.col("top.id").alias("lead"),
-                           F.col("top.component").alias("lead_component")).checkpoint())
-        more = (lists.join(leaders, lists["key"] == leaders["lead_key"])
-                .where(F.col("component") != F.col("lead_component"))
-                .select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct())
-        links = links.unionByName(confirm(more, found, sets, similarity, matches)).checkpoint()
-        lists, left, members = mixed_lists(found, links)
-
-    # last round: all members of one list that are still in different components
-    bounds = common_shingles(sets.join(lists.select("id").distinct(), "id", "left_semi")).checkpoint()
-    lists = lists.join(bounds.withColumnRenamed("id", "bid"), F.col("id") == F.col("bid"))
-    x = lists.select("key", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("prefix").alias("pa"),
-                     F.col("n").alias("na"), F.col("common").alias("ma"))
-    y = lists.select(F.col("key").alias("key2"), F.col("id").alias("b"), F.col("component").alias("cb"),
-                     F.col("prefix").alias("pb"), F.col("n").alias("nb"), F.col("common").alias("mb"))
-    most = F.least("ma", "mb")
-    may = 100 * most >= round(100 * similarity) * (F.col("na") + F.col("nb") - most)
-    # a pair is made in the first list that both share
-    last = x.join(y, (F.col("key") == F.col("key2")) & (F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & may
-                  & (F.get(F.array_intersect("pa", "pb"), F.lit(0)) == F.col("key"))).select("a", "b")
-    return links.unionByName(confirm(last, found, sets, similarity, matches)).checkpoint()
-
-
-def common_shingles(sets: DataFrame) -> DataFrame:
-    """Sizes of sets and how many of their shingles other ones have too: ``id, n, common``.
-
-    No intersection is larger than ``common``.  Shingles are counted with
-    map-side combine, and only those of a single set are counted by set.
-    """
+             .select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct())
+    first = scope.keep(colliding(first, held, k, matches), "minhash-pairs")
+    links = scope.keep(confirm(first, sets, similarity), "minhash-links")
+
+    # members of lists that hold several components, by their full sets
+    labelled = scope.keep(_with_component(found, links, scope), "minhash-labelled")
+    posted = labelled.select("id", "component", F.explode("prefix").alias("key"))
+    mixed = (posted.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+             .where("low < high").select(F.col("key").alias("mixed")))
+    left = posted.join(mixed, posted["key"] == mixed["mixed"]).select("id", "component").distinct()
+    more = similar_pairs(sets, scope.keep(left, "minhash-left"), similarity, scope)
+    return scope.keep(links.unionByName(confirm(more, sets, similarity)), "minhash-links")
+
+
+def similar_pairs(sets: DataFrame, members: DataFrame, similarity: float, scope: Scope) -> DataFrame:
+    """Pairs ``a, b`` of different components among ``members`` (``id,
+    component``) that prefixes and sizes of the full sets don't exclude."""
+    hundredths = round(100 * similarity)
     id_type = dict(sets.dtypes)["id"]
-
-    def run(batches):
-        for batch in batches:
-            found = [np.frombuffer(x, np.int64) for x in batch.column(1).to_pylist()]
-            at = np.repeat(np.arange(len(found)), [len(x) for x in found])
-            for low in range(0, len(at), 1 << 16):
-                part = slice(low, low + (1 << 16))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(at[part])), pa.array(np.concatenate(found)[part])], ["id", "shingle"])
-
-    single = (map_arrow(sets.select("id", "shingles"), run, f"id {id_type}, shingle bigint").groupBy("shingle")
-              .agg(F.min("id").alias("sid"), F.count(F.lit(1)).alias("f")).where("f = 1")
-              .groupBy("sid").agg(F.count(F.lit(1)).alias("own")))
-    n = (F.octet_length("shingles") / 8).cast("bigint")
-    return sets.join(single, sets["id"] == single["sid"], "left").select(
-        "id", n.alias("n"), (n - F.coalesce("own", F.lit(0))).alias("common"))
-
-
-def mixed_lists(found: DataFrame, links: DataFrame) -> tuple[DataFrame, float, int]:
-    """Lists with members of several components: their rows ``key, id, component,
-    weight, prefix``, the pairs of different components in them, and their members."""
-    labelled = _with_component(found, links).checkpoint()
-    posted = labelled.select("id", "component", "weight", F.explode("prefix").alias("key"), "prefix")
-    parts = posted.groupBy("key", "component").agg(F.count(F.lit(1)).cast("double").alias("m"))
-    mixed = (parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.sum("m").alias("n"),
-                                      F.sum(F.col("m") * F.col("m")).alias("same"))
-             .where("parts > 1").select(F.col("key").alias("mixed"), "n", "same").checkpoint())
-    left, members = mixed.agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2), F.sum("n")).first()
-    lists = posted.join(mixed, posted["key"] == mixed["mixed"]).select("key", "id", "component", "weight", "prefix")
-    return lists.checkpoint(), left or 0.0, int(members or 0)
+    chosen = scope.keep(sets.join(members, "id").select("id", "component", "shingles"), "minhash-members")
+
+    def values(wanted=None):
+        def run(batches):
+            for batch in batches:
+                found = [np.frombuffer(x, np.int64) for x in batch.column(2).to_pylist()]
+                size = np.array([len(x) for x in found], np.int64)
+                at, all_ = np.repeat(np.arange(len(found)), size), np.concatenate([*found, np.zeros(0, np.int64)])
+                if wanted is not None:
+                    has = wanted.has(all_)
+                    at, all_ = at[has], all_[has]
+                for low in range(0, len(at), 1 << 16):
+                    part = at[low:low + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(pa.array(part)), batch.column(1).take(pa.array(part)),
+                         pa.array(size[part]), pa.array(all_[low:low + (1 << 16)])], ["id", "component", "n", "shingle"])
+
+        return map_arrow(chosen, run, f"id {id_type}, component {id_type}, n bigint, shingle bigint")
+
+    shared = values().groupBy("shingle").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    shared = scope.keep(shared, "minhash-shared-shingles")
+    filled = Bloom.of(shared, "shingle", shared.count())
+
+    # places in the order of rising frequency, from 1; a set's own shingles come first and need no posting
+    held = values(filled).join(shared.withColumnRenamed("shingle", "s2"), F.col("shingle") == F.col("s2"))
+    held = held.groupBy("id", "component", "n").agg(F.sort_array(F.collect_list(F.struct("f", "shingle"))).alias("l"))
+    last = F.col("n") - F.ceil(F.col("n") * hundredths / 100).cast("bigint") + 1
+    held = held.withColumn("own", F.col("n") - F.size("l"))
+    held = held.withColumn("l", F.slice("l", F.lit(1), F.greatest(last - F.col("own"), F.lit(0)).cast("int")))
+    posts = scope.keep(held.select("id", "component", "n", "own", F.posexplode("l").alias("at", "x"))
+                       .select("id", "component", "n", F.col("x.shingle").alias("shingle"),
+                               (F.col("own") + F.col("at") + 1).alias("place")), "minhash-posts")
+
+    # lists of several components; the largest one of each need not meet itself
+    parts = posts.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("m"))
+    lists = (parts.groupBy("shingle").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("m", "component")).alias("top"))
+             .where("parts > 1").select(F.col("shingle").alias("list"), F.col("top.component").alias("top")))
+    # sizes within the similarity of each other fall into the same bucket or neighbours
+    bucket = F.floor(F.log("n") / float(-np.log(similarity) + 1e-9)).cast("bigint")
+    rows = posts.join(lists, posts["shingle"] == lists["list"]).withColumn("bucket", bucket)
+    x = (rows.where(F.col("component") != F.col("top"))
+         .select("list", F.explode(F.array(*[F.col("bucket") + d for d in (-1, 0, 1)])).alias("bucket"), F.col("id").alias("x"),
+                 F.col("component").alias("cx"), F.col("n").alias("nx"), F.col("place").alias("px")))
+    y = rows.select(F.col("list").alias("list2"), F.col("bucket").alias("bucket2"), F.col("id").alias("y"),
+                    F.col("component").alias("cy"), F.col("n").alias("ny"), F.col("place").alias("py"))
+    # the least common size with which two sets of these sizes are similar
+    need = F.ceil((F.col("nx") + F.col("ny")) * hundredths / (100 + hundredths) - 1e-9).cast("bigint")
+    may = (F.col("nx") - F.col("px") + 1 >= need) & (F.col("ny") - F.col("py") + 1 >= need)
+    pairs = x.join(y, (F.col("list") == F.col("list2")) & (F.col("bucket") == F.col("bucket2"))
+                   & (F.col("cx") != F.col("cy")) & may)
+    return scope.keep(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "minhash-pairs")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
@@ -316,21 +413,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     or empty text has an empty set and is linked with nothing; a row with a
     null id is its own and kept; rows with the same id follow their own texts;
     an empty table gives no rows; other columns are not read.  Runs its jobs
-    when called; written intermediates are in the checkpoint folder.
+    when called; what the result reads stays in the checkpoint folder.
     """
     spark = docs.sparkSession
-    scratch_root(spark)
-    path = scratch_path(spark, "minhash-signatures")
-    signatures(docs, id_col, text_col, words, k).write.parquet(path)
-    rows = spark.read.parquet(path)
-    classes = (rows.where(F.col("digest").isNotNull() & F.col("id").isNotNull()).groupBy("digest")
-               .agg(F.min("id").alias("id"), F.first("keys").alias("keys")))
-    path = scratch_path(spark, "minhash-classes")
-    classes.write.parquet(path)
-    classes = spark.read.parquet(path)
-    links = class_links(classes.select("id", "keys"), docs, id_col, text_col, words, similarity, k, matches)
-    named = _with_component(classes.select("id", "digest"), links)
-    named = named.select(F.col("digest").alias("cd"), "component").checkpoint()
+    result = Scope(spark)
+    with Scope(spark) as scope:
+        signed = scope.keep(signatures(docs, id_col, text_col, words, k), "minhash-signatures")
+        rows = result.keep(signed.select("id", "n", "digest"), "minhash-rows")
+        classes = (signed.where(F.col("digest").isNotNull() & F.col("id").isNotNull()).groupBy("digest")
+                   .agg(F.min("id").alias("id"), F.first("sig").alias("sig")))
+        classes = scope.keep(classes, "minhash-classes")
+        links = class_links(classes.select("id", "sig"), docs, id_col, text_col, words, similarity, k, matches, scope)
+        named = _with_component(classes.select("id", "digest"), links, scope)
+        named = result.keep(named.select(F.col("digest").alias("cd"), "component"), "minhash-named")
     out = rows.select("id", "n", "digest").join(named, (rows["digest"] == named["cd"]) & rows["id"].isNotNull(), "left")
     component = F.coalesce("component", "id")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
