@@ -121,11 +121,19 @@ def fit_pages(pages: list[str], layouts: int = LAYOUT_PAGES, tokens: int = TOKEN
 
 
 def sample(pages: DataFrame, html_col: str = "html", rows: int = SAMPLE_PAGES, chars: int = SAMPLE_CHARS) -> list[str]:
-    """At most ``rows`` pages of at most ``chars`` characters, by a hash of the page: the same on every run."""
+    """At most ``rows`` different pages of at most ``chars`` characters, by a hash
+    of the page: the same on every run.
+
+    Of a large table only rows whose hash falls below a cut are looked at, about
+    ``4 * rows`` of them, so that little is sent to the driver however many
+    tasks there are.
+    """
     html = pages[html_col]
-    found = (pages.select(html.alias("html")).where(html.isNotNull() & (F.length(html) <= chars))
-             .select("html", F.xxhash64("html").alias("h")).orderBy("h", "html").limit(rows))
-    return [r["html"] for r in found.collect()]
+    found = pages.select(html.alias("html"), F.xxhash64(html).alias("h")).where(html.isNotNull() & (F.length(html) <= chars))
+    many = pages.count()
+    if many > 4 * rows:
+        found = found.where(F.pmod("h", F.lit(1 << 40)) < int(4 * rows / many * (1 << 40)))
+    return [r["html"] for r in found.dropDuplicates(["html"]).orderBy("h", "html").limit(rows).collect()]
 
 
 def main_texts(pages: list[str], model: Model) -> list[str]:
