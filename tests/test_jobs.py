@@ -39,3 +39,26 @@ def test_revenue_job(spark, write_text):
     jobs.main(["revenue", write_text(RECEIPTS), prices, out, "--how", "full", "--style", "slash"], spark)
     assert read_lines(out) == ["latte\t08/2015:3 09/2015:1.5 ", "olio\t",
                                "pane\t08/2015:6 09/2015:2 ", "vino\t"]
+
+
+def test_job_options(spark, write_text):
+    receipts, prices = write_text(RECEIPTS), write_text("pane,2\npane,3\nlatte,1.5\nvino,0\nolio,4\n")
+
+    def run(*args):
+        out = scratch_path(spark, "job")
+        jobs.main([*args[:-1], out, *args[-1]], spark)
+        return read_lines(out)
+
+    assert run("top", receipts, ["--style", "line", "--trailing-separator"]) == [
+        "2015-08:\tpane 3, latte 2, vino 1, ", "2015-09:\tvino 2, latte 1, pane 1, "]
+    assert run("top", receipts, ["--style", "line", "--empty", "inner"])[1] == "2015-09:\tvino 2,  1, latte 1, pane 1"
+    assert run("revenue", receipts, prices, ["--style", "slash", "--dedup", "max"]) == [
+        "latte\t08/2015:3 09/2015:1.5 ", "pane\t08/2015:9 09/2015:3 ", "vino\t08/2015:0 09/2015:0 "]
+    assert run("revenue", receipts, prices, ["--style", "slash", "--dedup", "min", "--zero-is-missing"]) == [
+        "latte\t08/2015:3 09/2015:1.5 ", "pane\t08/2015:6 09/2015:2 "]
+    assert run("revenue", receipts, prices, ["--how", "full", "--style", "slash", "--dedup", "max", "--zero-is-price"])[-1] == \
+        "vino\t08/2015:0 09/2015:0 "
+    assert run("revenue", receipts, write_text("pane,2.125\n"), ["--price-scale", "3", "--style", "slash"]) == [
+        "pane\t08/2015:6.375 09/2015:2.125 "]
+    sort = run("rules", receipts, ["--style", "percent"])
+    assert sorted(run("rules", receipts, ["--style", "percent", "--unsorted", "--rebalance"])) == sorted(sort)

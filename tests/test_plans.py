@@ -1,10 +1,17 @@
 """Plan properties that matter at scale, checked on the executed plans."""
 
 import re
+import uuid
+from contextlib import contextmanager
 
 import pytest
+from pyspark.sql import functions as F
 
+from tillroll.operators import ids, items as it, revenue, rules
 from tillroll.plans.queries import QUERIES
+from tillroll.session import Scope
+from tillroll.sources import sinks, tables
+from tillroll.sources.receipts import parse_comma_lines
 
 SF = "/root/testdata/sf0.001"
 
@@ -20,12 +27,163 @@ def test_top_k_is_limited_before_the_shuffle(spark):
     assert re.search(r"WindowGroupLimit[^\n]*Partial", plan), plan
 
 
-def test_pair_rules_reuse_the_basket_shuffle(spark):
-    df = QUERIES["pair_rules"](spark, SF)
-    df.collect()  # runs this query execution, so the adaptive plan is final
-    final = df._jdf.queryExecution().executedPlan().toString()
-    assert "isFinalPlan=true" in final
-    assert final.count("ReusedExchange") >= 2, final
+@contextmanager
+def settings(spark, **confs):
+    confs = {k.replace("_", "."): v for k, v in confs.items()}
+    before = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def shuffled_plan(spark, build) -> str:
+    """The physical plan as it is with neither adaptive execution nor broadcasts by size."""
+    with settings(spark, spark_sql_adaptive_enabled="false", spark_sql_autoBroadcastJoinThreshold="-1"):
+        return build()._jdf.queryExecution().executedPlan().toString()
+
+
+def jobs_of(spark, build) -> int:
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+
+
+@pytest.mark.parametrize("hot_items", [None, 4096])
+def test_one_exchange_between_items_and_pairs(spark, hot_items):
+    items = tables.order_items(spark, SF, "name")  # the part join comes last, so items are not by receipt
+    receipts = tables.order_receipts(spark, SF)
+    lines = shuffled_plan(spark, lambda: rules.pair_rules(items, receipts, hot_items=hot_items,
+                                                          sizes=tables.order_sizes(spark, SF))).splitlines()
+    assert sum("Exchange hashpartitioning(rid#" in x and "REPARTITION_BY_COL" in x and "Reused" not in x for x in lines) == 1
+    # the other side of the self-join, the diagonal, the occurrences
+    assert sum("ReusedExchange" in x and "REPARTITION_BY_COL" in x for x in lines) == 3, "\n".join(lines)
+
+
+@pytest.mark.parametrize("name", ["pair_rules", "pair_rules_grid", "pair_counts_events_grid", "pair_counts"])
+def test_no_window_over_items(spark, name):
+    plan = full_text(QUERIES[name](spark, SF))
+    assert "Window" not in plan
+
+
+@pytest.fixture
+def hot_items(spark):
+    """One receipt holds a third of all rows; the others have three items."""
+    hot = spark.range(6000).select(F.lit(-1).alias("rid"), F.concat(F.lit("h"), F.col("id") % 2000).alias("product"))
+    rest = spark.range(12000).select((F.col("id") % 4000).cast("int").alias("rid"),
+                                     F.concat(F.lit("p"), F.col("id") % 7).alias("product"))
+    return hot.unionByName(rest).repartition(4)
+
+
+def test_no_task_holds_a_hot_receipt(spark, hot_items):
+    with settings(spark, spark_sql_adaptive_coalescePartitions_enabled="false",
+                  spark_sql_autoBroadcastJoinThreshold="-1"):
+        b = rules.make_baskets(hot_items, hot_items=100)
+        assert b.plain.where("rid = -1").count() == 0 and b.plain.select("rid").distinct().count() == 4000
+        assert b.hot.select("rid", "d").distinct().collect() == [(-1, 2000)]
+        grid = rules._grid_pairs(b.hot, 100)
+        for frame, total in ((b.hot, 2000), (grid, 2000 * 1999 // 2)):
+            tasks = [r[0] for r in frame.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1))).select("count(1)").collect()]
+            assert sum(tasks) == total and len(tasks) >= 6 and max(tasks) < total / 3
+        want = rules.pair_counts(hot_items, hot_items=None)
+        got = rules.pair_counts(hot_items, hot_items=100)
+        assert want.exceptAll(got).count() == got.exceptAll(want).count() == 0
+
+
+def test_more_hot_receipts_than_the_list_holds(spark, hot_items, monkeypatch):
+    want = rules.pair_counts(hot_items, hot_items=None)
+    listed = rules.hot_receipts(rules.receipt_sizes(hot_items), 2, most=10)
+    assert listed.count() == 10 and listed.where("rid = -1").count() == 1  # the largest first
+    monkeypatch.setattr(rules.hot_receipts, "__defaults__", (10,))
+    got = rules.pair_counts(hot_items, hot_items=2)
+    assert want.exceptAll(got).count() == got.exceptAll(want).count() == 0
+
+
+def test_parts_are_counted_before_they_are_named(spark):
+    for name in ("monthly_top5", "product_occurrences"):
+        lines = shuffled_plan(spark, lambda n=name: QUERIES[n](spark, SF)).splitlines()
+        at = [i for i, line in enumerate(lines) if re.search(r"Exchange hashpartitioning\([^)]*l_partkey|Exchange hashpartitioning\(product#", line)]
+        assert at
+        for i in at:  # what is exchanged by part key or name are counts, or the part table
+            below = " ".join(lines[i + 1:i + 4])
+            assert "HashAggregate" in below or "p_partkey" in below, "\n".join(lines)
+
+
+def test_full_revenue_is_one_tagged_aggregation(spark):
+    for name in ("monthly_revenue_full", "monthly_revenue_full_zero"):
+        plan = shuffled_plan(spark, lambda n=name: revenue_rows(spark, n))
+        assert "FullOuter" not in plan and "Union" in plan
+        by_product = [x for x in plan.splitlines() if re.search(r"Exchange hashpartitioning\(product#\d+, _grouping", x)]
+        assert len(by_product) == 1, plan
+
+
+def revenue_rows(spark, name):
+    items = it.with_month(tables.order_items(spark, SF, "partkey"))
+    return revenue.monthly_revenue(items, tables.part_prices(spark, SF), how="full", zero_is_missing=name.endswith("zero"))
+
+
+def test_three_grains_are_one_expand(spark):
+    plan = full_text(QUERIES["one_pass_counts"](spark, SF)).split("== Physical Plan ==")[1]
+    assert len(re.findall(r"[-+ ]Expand \[", plan)) == 1
+    assert re.search(r"\(p1#\d+ < p2#\d+\)", plan) and not re.search(r"NOT \(p1#\d+ = p2#\d+\)", plan.split("Expand")[1])
+
+
+def test_bucketed_table_has_a_file_per_bucket(spark):
+    with Scope(spark) as scope:
+        b = rules.make_baskets(tables.order_items(spark, SF, "partkey").repartition(8), hot_items=None).plain
+        path, name = scope.path("buckets"), scope.table("tillroll_test_buckets")
+        sinks.save_table(b, name, path, bucket_by="rid", buckets=8)
+        files = [f for f in spark.table(name).inputFiles()]
+        assert len(files) == 8
+        read = rules.Baskets(spark.table(name), None, None)
+        plan = shuffled_plan(spark, lambda: rules.pair_weights(read))
+        assert "Exchange" not in plan, plan
+
+
+def test_rebalance_is_an_option_and_starts_no_job(spark):
+    lines = spark.createDataFrame([(f"2024-02-{d:02d},bread,milk",) for d in range(1, 29)], "value STRING").repartition(5)
+    assert jobs_of(spark, lambda: parse_comma_lines(lines)) == 0
+    assert jobs_of(spark, lambda: parse_comma_lines(lines, rebalance=True)) == 0
+    assert "RebalancePartitions" not in full_text(parse_comma_lines(lines))
+    spread = parse_comma_lines(lines, rebalance=True)
+    assert "RebalancePartitions" in full_text(spread)
+    assert sorted(spread.select("data").collect()) == sorted(parse_comma_lines(lines).select("data").collect())
+    with settings(spark, spark_tillroll_rebalanceScans="true"):
+        assert "RebalancePartitions" in full_text(QUERIES["monthly_top5"](spark, SF))
+    assert "RebalancePartitions" not in full_text(QUERIES["monthly_top5"](spark, SF))
+
+
+@pytest.mark.parametrize("name", ["global_sort", "pair_rules", "monthly_revenue_full", "hive_rules_sql", "one_pass_counts"])
+def test_no_job_before_the_action(spark, name):
+    assert jobs_of(spark, lambda: QUERIES[name](spark, SF)) == 0
+
+
+def test_dense_numbering_orders_ranges_apart(spark):
+    df = spark.range(3000).select((F.col("id") * 7 % 1000).alias("k"), F.col("id").alias("v"))
+    numbered = ids.with_row_number(df, ["k"], "n", ranges=16)
+    text = shuffled_plan(spark, lambda: numbered)
+    windows = [line for line in text.splitlines() if re.search(r"Window \[", line)]
+    assert windows and all(("row_number" in w and "_range" in w.split("windowspecdefinition")[1]) or "sum(_n" in w for w in windows)
+    per_range = numbered.groupBy(F.floor((F.col("n") - 1) / 200)).agg(F.count(F.lit(1)).alias("c")).collect()
+    assert sum(r.c for r in per_range) == 3000
+    with settings(spark, spark_sql_adaptive_enabled="false"):
+        tasks = [r.c for r in numbered.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("c")).collect()]
+    assert max(tasks) < 1500
+
+
+@pytest.mark.parametrize("name", ["pair_rules_stepwise", "table_overwrite", "hive_top5_sql", "hive_revenue_sql",
+                                  "hive_rules_sql", "hive_rules_steps"])
+def test_nothing_is_left_in_the_catalog(spark, name):
+    before = {t.name for t in spark.catalog.listTables()}
+    QUERIES[name](spark, SF).collect()
+    assert {t.name for t in spark.catalog.listTables()} == before
 
 
 @pytest.mark.parametrize("name", ["monthly_top5", "monthly_revenue", "pair_rules", "pair_counts_events"])
@@ -43,17 +201,15 @@ def test_no_python_evaluation(spark, name):
 
 
 @pytest.mark.parametrize("name", ["pair_rules", "pair_rules_stepwise", "one_pass_counts", "monthly_revenue"])
-def test_no_cross_join_and_no_broadcast_hint(spark, name):
+def test_no_cross_join_and_only_bounded_broadcasts(spark, name):
     df = QUERIES[name](spark, SF)
-    optimized = df._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" not in optimized
-    assert "Join Cross" not in optimized
+    optimized = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not any("Join Cross" in line for line in optimized)
+    for i, line in enumerate(optimized):  # the only hinted sides are the lists of hot receipts, cut by a limit
+        if "strategy=broadcast" in line:
+            assert any("GlobalLimit 65536" in below for below in optimized[i + 1:]), "\n".join(optimized)
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" not in final and "CartesianProduct" not in final
 
 
-def test_dense_numbering_uses_no_global_window_on_data(spark):
-    text = full_text(QUERIES["global_sort"](spark, SF))
-    # the only single-partition exchange feeds the per-partition offsets table
-    assert "rangepartitioning" in text.lower() or "LogicalRDD" in text

@@ -1,5 +1,9 @@
 """Text and table round trips."""
 
+from decimal import Decimal
+
+import pytest
+
 import tillroll as tr
 from tillroll.session import scratch_path
 
@@ -48,13 +52,39 @@ def test_tables(spark):
     assert not spark.catalog.tableExists("t_prices")
 
 
-def test_spread_only_when_splits_are_few(spark):
-    from tillroll.sources.layout import spread_rows
-    cores = spark.sparkContext.defaultParallelism
-    few = spark.range(0, 100, 1, 1)
-    many = spark.range(0, 100, 1, cores)
-    assert spread_rows(few).rdd.getNumPartitions() == cores
-    assert spread_rows(many) is many
+def test_prices_are_never_rounded(spark, write_text):
+    ok = spark.createDataFrame([("a", 3.9), ("b", 1e6), ("c", None), ("d", 0.0)], "product string, price double")
+    assert [str(r.price) for r in tr.typed_prices(ok).collect()] == ["3.90", "1000000.00", "None", "0.00"]
+    for kind, value in (("double", 3.999), ("string", "3.999"), ("decimal(9,3)", Decimal("3.999"))):
+        bad = spark.createDataFrame([("a", value)], f"product string, price {kind}")
+        items = spark.createDataFrame([(1, "2024-01", "a")], "rid int, month string, product string")
+        with pytest.raises(Exception, match="price does not fit"):
+            tr.typed_prices(bad, scale=2).collect()
+        if not kind.startswith("decimal"):
+            with pytest.raises(Exception, match="price does not fit"):
+                tr.monthly_revenue(items, bad).collect()
+
+
+def test_price_lists_of_a_larger_scale(spark, write_text):
+    path = write_text("pane,3.999\nlatte,1.25\n")
+    with pytest.raises(Exception, match="price does not fit"):
+        tr.read_prices(spark, path).collect()
+    prices = tr.read_prices(spark, path, scale=4)
+    items = spark.createDataFrame([(1, "2024-01", "pane"), (2, "2024-01", "pane")], "rid int, month string, product string")
+    for how in ("inner", "full"):
+        rev = tr.monthly_revenue(items, prices, how=how).where("product = 'pane'").first()
+        assert (str(rev.price), str(rev.total)) == ("3.9990", "7.9980")
+
+
+def test_empty_items_inside_and_at_the_end(spark, write_text):
+    path = write_text("2024-01-01,a,,b,,\n2024-01-02,,\n2024-01-03\n\n2024-01-04,,c\n")
+    got = {rule: [list(r.products) for r in tr.read_receipts(spark, path, empty=rule).orderBy("rid").collect()]
+           for rule in ("drop", "inner", "keep")}
+    assert got["inner"] == [["a", "", "b"], [], [], [], ["", "c"]]
+    assert got["drop"] == [["a", "b"], [], [], [], ["c"]]
+    assert got["keep"] == [["a", "", "b", "", ""], ["", ""], [], [], ["", "c"]]
+    with pytest.raises(ValueError):
+        tr.read_receipts(spark, path, empty="some")
 
 
 def test_sorted_sink_writes_in_key_order(spark):

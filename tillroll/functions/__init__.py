@@ -6,7 +6,7 @@ from tillroll.functions.formats import (
     percent1,
     raw_percent,
 )
-from tillroll.functions.tokens import drop_empty, items_after_date, split_tokens
+from tillroll.functions.tokens import drop_empty, drop_trailing_empty, items_after_date, split_tokens
 
 __all__ = [
     "month_key",
@@ -15,6 +15,7 @@ __all__ = [
     "percent1",
     "raw_percent",
     "drop_empty",
+    "drop_trailing_empty",
     "items_after_date",
     "split_tokens",
 ]

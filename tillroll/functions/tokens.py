@@ -20,6 +20,14 @@ def drop_empty(arr) -> Column:
     return F.filter(_col(arr), lambda x: x.isNotNull() & (x != F.lit("")))
 
 
+def drop_trailing_empty(arr) -> Column:
+    """Remove the empty strings at the end of an array of strings, keep those between others."""
+    a = _col(arr)
+    last = F.aggregate(F.sequence(F.lit(0), F.size(a)), F.lit(0),
+                       lambda acc, i: F.when(F.coalesce(F.get(a, i - 1), F.lit("")) != "", i).otherwise(acc))
+    return F.slice(a, F.lit(1), last)
+
+
 def items_after_date(tokens) -> Column:
     """All tokens after the first; a date-only line gives ``[]``."""
     t = _col(tokens)

@@ -41,3 +41,14 @@ def basket(items: DataFrame, distinct_items: bool = False) -> DataFrame:
     if distinct_items:
         b = b.select("rid", "product", F.lit(1).cast("bigint").alias("c"))
     return b
+
+
+def receipt_basket(items: DataFrame, distinct_items: bool = False) -> DataFrame:
+    """:func:`basket` of receipts of bounded size, exchanged by ``rid`` alone.
+
+    That partitioning satisfies the collapse to ``(rid, product)`` and a later
+    self-join on ``rid``, so one exchange serves both; copies are collapsed
+    behind it.
+    """
+    items = items.where(F.col("rid").isNotNull() & F.col("product").isNotNull())
+    return basket(items.repartition("rid"), distinct_items)

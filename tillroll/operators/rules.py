@@ -11,40 +11,90 @@ Definitions (positional, like a double loop over the items of a receipt):
 
 How it runs:
 
-1. ``basket``: copies collapse to ``(rid, product, c)``, aggregated map-side
-   first, so a receipt made of copies costs one row per distinct item.
-2. The diagonal ``(a, a)`` is arithmetic on ``c``, one ``c * (c - 1)`` row
+1. **Receipt sizes** are counted first (rows per receipt, combined in each map
+   task; an adapter that knows them better may pass them).  The ``MAX_HOT``
+   largest receipts of more than ``hot_items`` rows are the *hot* ones.  That
+   list is bounded by its limit, so it is broadcast, and the items are split
+   with it before any exchange on ``rid``: no task ever holds a hot receipt.
+2. Plain receipts take **one exchange, by** ``rid`` **alone**.  It serves the
+   collapse of copies to ``(rid, product, c)``, both sides of the self-join,
+   the diagonal and the per-product occurrences.
+3. The diagonal ``(a, a)`` is arithmetic on ``c``, one ``c * (c - 1)`` row
    per receipt with copies, summed with the other pairs.
-3. Distinct items are paired by a self-join of the basket on ``rid`` that
-   keeps ``p1 < p2`` (every unordered pair once, weight ``c1 * c2``).  The
-   weights are summed per pair (partial aggregation right after the join,
-   in the same stage) and mirrored to both orders afterwards, which halves
-   the rows that go through the shuffle.
-4. Hot receipts, with more than ``hot_items`` distinct items, do not go
-   through the plain ``rid`` join: their items are hashed into
-   ``s = ceil(d / hot_items)`` buckets and the join key becomes
-   ``(rid, bucket_i, bucket_j)`` over the upper triangle ``i <= j``, so
-   one receipt's pairs spread over ``s (s + 1) / 2`` join groups of about
-   ``hot_items`` squared candidate pairs each, instead of one task.  The
-   threshold also bounds what a sort-merge join buffers per key: at most
-   ``hot_items`` rows of one receipt on the plain path, about that many
-   per block side in the grid.  Plain and hot receipts are summed apart
-   and the two per-pair tables added, so the plain join never waits for
-   the hot branch.
-5. Receipt total and per-product occurrences are plain aggregates.  The
-   total enters the ratios as a scalar subquery; no join carries a
-   broadcast hint, any broadcast is the optimizer's choice from a measured
-   size.
+4. Distinct items are paired by a self-join on ``rid`` that keeps ``p1 < p2``
+   (every unordered pair once, weight ``c1 * c2``).  The weights are summed
+   per pair (partial aggregation right after the join, in the same stage) and
+   mirrored to both orders afterwards, which halves the rows of the shuffle.
+5. Hot receipts are collapsed by ``(rid, product)`` with a combine in each map
+   task, hashed into ``s = ceil(d / hot_items)`` buckets (d = distinct items)
+   and joined on ``(rid, bucket_i, bucket_j)`` over the upper triangle
+   ``i <= j``: one receipt's pairs spread over ``s (s + 1) / 2`` join groups of
+   about ``hot_items`` squared candidate pairs each.  So a sort-merge join
+   buffers at most about ``hot_items`` rows a key on either path, unless more
+   than ``MAX_HOT`` receipts are hot: the smaller ones then go the plain way,
+   with the same result.
+6. Plain and hot receipts are summed apart and the two per-pair tables added,
+   so the plain join never waits for the hot branch; without hot receipts
+   adaptive execution drops that branch.
+7. The receipt total enters the ratios as a scalar subquery.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.operators.items import basket
+from tillroll.operators.items import basket, receipt_basket
 
 HOT_ITEMS_DEFAULT = 4096
+MAX_HOT = 1 << 16  # receipts in the broadcast list of hot ones
+
+
+class Baskets(NamedTuple):
+    """Collapsed items ``(rid, product, c)``: of plain receipts, in one place per
+    receipt, and of hot ones, spread, with ``d`` distinct items (None: no split)."""
+
+    plain: DataFrame
+    hot: DataFrame | None
+    hot_items: int | None
+
+
+def receipt_sizes(items: DataFrame) -> DataFrame:
+    """``rid, size``: item rows per receipt, combined in each map task."""
+    return items.where(F.col("rid").isNotNull()).groupBy("rid").agg(F.count(F.lit(1)).alias("size"))
+
+
+def hot_receipts(sizes: DataFrame, hot_items: int, most: int = MAX_HOT) -> DataFrame:
+    """``rid`` of the receipts with more than ``hot_items`` rows, the ``most`` largest."""
+    return (sizes.where(F.col("size") > hot_items).orderBy(F.col("size").desc(), "rid").limit(most).select("rid"))
+
+
+def split_items(items: DataFrame, hot_items: int, sizes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Items of plain and of hot receipts; nothing is exchanged by ``rid``."""
+    if hot_items < 1:
+        raise ValueError("hot_items must be >= 1")
+    hot = F.broadcast(hot_receipts(sizes if sizes is not None else receipt_sizes(items), hot_items))
+    return items.join(hot, "rid", "left_anti"), items.join(hot, "rid", "left_semi")
+
+
+def make_baskets(items: DataFrame, distinct_items: bool = False, hot_items: int | None = HOT_ITEMS_DEFAULT,
+                 sizes: DataFrame | None = None) -> Baskets:
+    """Split and collapse items.  ``sizes`` (``rid, size``) may be any estimate:
+    it only decides which way a receipt goes.  ``hot_items=None``: no split."""
+    items = items.select("rid", "product")
+    if hot_items is None:
+        return Baskets(receipt_basket(items, distinct_items), None, None)
+    plain, hot = split_items(items, hot_items, sizes)
+    return Baskets(receipt_basket(plain, distinct_items), with_distinct(basket(hot, distinct_items)), hot_items)
+
+
+def with_distinct(hot: DataFrame) -> DataFrame:
+    """``d``, the distinct items of each hot receipt; one row a receipt is broadcast,
+    at most ``MAX_HOT``, so the basket stays spread."""
+    d = hot.groupBy("rid").agg(F.count(F.lit(1)).alias("d"))
+    return hot.join(F.broadcast(d.limit(MAX_HOT)), "rid")
 
 
 def _mirror(pairs: DataFrame, value: str) -> DataFrame:
@@ -97,40 +147,28 @@ def _grid_pairs(hot: DataFrame, hot_items: int) -> DataFrame:
         (F.col("c1") * F.col("c2")).alias("w"))
 
 
-def pair_weights(b: DataFrame, ordered: bool = False,
-                 hot_items: int | None = HOT_ITEMS_DEFAULT) -> DataFrame:
+def pair_weights(b: Baskets, ordered: bool = False) -> DataFrame:
     """Unaggregated ``(p1, p2, w)`` rows for distinct items of each receipt.
 
     ``ordered=False`` gives each unordered pair once with ``p1 < p2``;
-    ``ordered=True`` gives both orders.  ``hot_items=None`` turns the hot
-    receipt split off (every receipt goes through the plain join).
+    ``ordered=True`` gives both orders.
     """
-    if hot_items is None:
-        return _plain_pairs(b, ordered)
-    normal, hot = _split_hot(b, hot_items)
-    grid = _grid_pairs(hot, hot_items)
-    return _plain_pairs(normal, ordered).unionByName(_mirror(grid, "w") if ordered else grid)
-
+    plain = _plain_pairs(b.plain, ordered)
+    if b.hot is None:
+        return plain
+    grid = _grid_pairs(b.hot, b.hot_items)
+    return plain.unionByName(_mirror(grid, "w") if ordered else grid)
 
-def _split_hot(b: DataFrame, hot_items: int):
-    """Receipts with at most / more than ``hot_items`` distinct items.
 
-    ``d`` is a count over the receipt's rows (a window on ``rid``, which
-    shares the sort the self-join needs anyway).
-    """
-    if hot_items < 1:
-        raise ValueError("hot_items must be >= 1")
-    sized = b.withColumn("d", F.count(F.lit(1)).over(Window.partitionBy("rid")))
-    normal = sized.where(F.col("d") <= hot_items).select("rid", "product", "c")
-    # the hot rows pass through one (usually empty) shuffle of their own, so
-    # the size window runs once for both sides of the grid, not once per side
-    hot = sized.where(F.col("d") > hot_items).repartition("rid", "product")
-    return normal, hot
+def all_items(b: Baskets) -> DataFrame:
+    """``(rid, product, c)`` of all receipts."""
+    columns = ("rid", "product", "c")
+    return b.plain.select(*columns) if b.hot is None else b.plain.select(*columns).unionByName(b.hot.select(*columns))
 
 
-def occurrences_from_basket(b: DataFrame) -> DataFrame:
+def occurrences_from_baskets(b: Baskets) -> DataFrame:
     """``product, occurrences`` (sum of c over receipts)."""
-    return b.groupBy("product").agg(F.sum("c").alias("occurrences"))
+    return all_items(b).groupBy("product").agg(F.sum("c").alias("occurrences"))
 
 
 def _diagonal_weights(b: DataFrame) -> DataFrame:
@@ -145,41 +183,30 @@ def _diagonal_weights(b: DataFrame) -> DataFrame:
         (F.col("c") * (F.col("c") - 1)).alias("w"))
 
 
-def _pair_table(b: DataFrame, form: str, hot_items: int | None, self_pairs: bool) -> DataFrame:
-    """``(p1, p2, pair_count)`` for every ordered pair that occurs."""
+def pair_counts_from_baskets(b: Baskets, self_pairs: bool = True, form: str = "mirror") -> DataFrame:
+    """``(p1, p2, pair_count BIGINT)`` for every ordered pair that occurs."""
     if form not in ("mirror", "ordered"):
         raise ValueError(f"form must be 'mirror' or 'ordered', got {form!r}")
     ordered = form == "ordered"
 
-    def summed(w: DataFrame) -> DataFrame:
+    def summed(w: DataFrame, of: DataFrame) -> DataFrame:
+        if self_pairs:
+            w = w.unionByName(_diagonal_weights(of))
         return w.groupBy("p1", "p2").agg(F.sum("w").alias("pair_count"))
 
-    def with_diagonal(w: DataFrame) -> DataFrame:
-        return w.unionByName(_diagonal_weights(b)) if self_pairs else w
-
-    if hot_items is None:
-        counts = summed(with_diagonal(_plain_pairs(b, ordered)))
-    else:
+    counts = summed(_plain_pairs(b.plain, ordered), b.plain)
+    if b.hot is not None:
         # plain and hot receipts are summed apart, then the two small
-        # per-pair tables are added: the plain join never waits for the
-        # hot-receipt branch
-        normal, hot = _split_hot(b, hot_items)
-        plain = summed(with_diagonal(_plain_pairs(normal, ordered)))
-        grid = _grid_pairs(hot, hot_items)
-        grid = summed(_mirror(grid, "w") if ordered else grid)
-        counts = (plain.unionByName(grid).groupBy("p1", "p2")
-                  .agg(F.sum("pair_count").alias("pair_count")))
+        # per-pair tables are added
+        grid = _grid_pairs(b.hot, b.hot_items)
+        grid = summed(_mirror(grid, "w") if ordered else grid, b.hot)
+        counts = counts.unionByName(grid).groupBy("p1", "p2").agg(F.sum("pair_count").alias("pair_count"))
     return counts if ordered else _mirror(counts, "pair_count")
 
 
-def pair_counts_from_basket(b: DataFrame, self_pairs: bool = True, form: str = "mirror",
-                            hot_items: int | None = HOT_ITEMS_DEFAULT) -> DataFrame:
-    """``(p1, p2, pair_count BIGINT)`` for every ordered pair that occurs."""
-    return _pair_table(b, form, hot_items, self_pairs)
-
-
 def pair_counts(items: DataFrame, self_pairs: bool = True, distinct_items: bool = False,
-                form: str = "mirror", hot_items: int | None = HOT_ITEMS_DEFAULT) -> DataFrame:
+                form: str = "mirror", hot_items: int | None = HOT_ITEMS_DEFAULT,
+                sizes: DataFrame | None = None) -> DataFrame:
     """Occurrences of every ordered product pair on the same receipt.
 
     ``self_pairs=False`` drops pairs of a product with itself (name-based
@@ -188,15 +215,15 @@ def pair_counts(items: DataFrame, self_pairs: bool = True, distinct_items: bool
     reach the shuffle: ``'mirror'`` (one row per unordered pair, mirrored
     after the sum) or ``'ordered'`` (both orders before the sum).
     """
-    b = basket(items.select("rid", "product"), distinct_items)
-    return pair_counts_from_basket(b, self_pairs and not distinct_items, form, hot_items)
+    return pair_counts_from_baskets(make_baskets(items, distinct_items, hot_items, sizes),
+                                    self_pairs and not distinct_items, form)
 
 
 def product_occurrences(items: DataFrame, distinct_items: bool = False) -> DataFrame:
     """Items per product (``distinct_items=True``: receipts per product)."""
     if distinct_items:
         b = basket(items.select("rid", "product"), True)
-        return occurrences_from_basket(b)
+        return b.groupBy("product").agg(F.sum("c").alias("occurrences"))
     return (items.where(F.col("product").isNotNull())
             .groupBy("product").agg(F.count(F.lit(1)).alias("occurrences")))
 
@@ -208,21 +235,22 @@ def receipt_total(receipts: DataFrame) -> DataFrame:
 
 def pair_rules(items: DataFrame, receipts: DataFrame, self_pairs: bool = True,
                distinct_items: bool = False, form: str = "mirror",
-               hot_items: int | None = HOT_ITEMS_DEFAULT) -> DataFrame:
+               hot_items: int | None = HOT_ITEMS_DEFAULT, sizes: DataFrame | None = None) -> DataFrame:
     """Association rules p1 -> p2 with support and confidence.
 
     Returns ``p1, p2, pair_count BIGINT, support DOUBLE, confidence DOUBLE``
     (ratios, not percentages).  ``receipts`` has one row per receipt and
     gives the support denominator; it may include item-less receipts.
+    ``sizes`` (``rid, size``) saves counting the items of each receipt.
 
-    Plan: the basket is shuffled once by (rid, product) and that shuffle is
-    reused by the pair join, the diagonal rows and the per-product
+    Plan: the items of plain receipts are shuffled once, by rid, and that
+    shuffle is reused by the pair join, the diagonal rows and the per-product
     occurrences; the occurrences (one row per product) join the pair counts
     on p1; the receipt total is a scalar subquery (no join).
     """
-    b = basket(items.select("rid", "product"), distinct_items)
-    occ = occurrences_from_basket(b).withColumnRenamed("product", "p1")
-    pairs = _pair_table(b, form, hot_items, self_pairs and not distinct_items)
+    b = make_baskets(items, distinct_items, hot_items, sizes)
+    occ = occurrences_from_baskets(b).withColumnRenamed("product", "p1")
+    pairs = pair_counts_from_baskets(b, self_pairs and not distinct_items, form)
     return with_ratios(pairs.join(occ, "p1"), receipt_total(receipts))
 
 
@@ -241,25 +269,33 @@ def with_ratios(pairs: DataFrame, total: DataFrame) -> DataFrame:
 
 
 def tagged_counts(items: DataFrame, receipts: DataFrame, self_pairs: bool = True,
-                  hot_items: int | None = HOT_ITEMS_DEFAULT) -> DataFrame:
-    """Three grains in one aggregation: ``tag, p1, p2, n``.
-
-    Rows tagged ``'pair'`` (p1, p2), ``'product'`` (p1) and ``'total'`` flow
-    into one ``groupBy(tag, p1, p2)`` sum.  The grains stay apart by tag;
-    a product count is not derived from pair counts.
+                  hot_items: int | None = HOT_ITEMS_DEFAULT, sizes: DataFrame | None = None) -> DataFrame:
+    """Three grains in one aggregation by grouping sets: ``tag, p1, p2, n``.
+
+    One set of facts, each with its own measure: unordered pairs ``(p1, p2,
+    w)``, items ``(p, p)`` with their copies and the pairs of copies, and
+    receipts.  Grouping sets ``(p1, p2)``, ``(p1)`` and ``()`` sum them once: a
+    ``'pair'`` row takes the pair weights, a ``'product'`` row the copies and
+    the ``'total'`` row the receipts, so no grain is derived from another.
+    Pairs are mirrored after the sum, so half of the pair rows are made.
     """
-    b = basket(items.select("rid", "product"))
+    b = make_baskets(items, False, hot_items, sizes)
+    zero = F.lit(0).cast("bigint")
     null = F.lit(None).cast("string")
-    pair_rows = pair_weights(b, ordered=True, hot_items=hot_items).select(
-        F.lit("pair").alias("tag"), "p1", "p2", F.col("w").alias("n"))
-    if self_pairs:
-        diag = b.where(F.col("c") > 1).select(
-            F.lit("pair").alias("tag"), F.col("product").alias("p1"), F.col("product").alias("p2"),
-            (F.col("c") * (F.col("c") - 1)).alias("n"))
-        pair_rows = pair_rows.unionByName(diag)
-    product_rows = b.select(F.lit("product").alias("tag"), F.col("product").alias("p1"),
-                            null.alias("p2"), F.col("c").alias("n"))
-    total_rows = receipts.select(F.lit("total").alias("tag"), null.alias("p1"), null.alias("p2"),
-                                 F.lit(1).cast("bigint").alias("n"))
-    tagged = pair_rows.unionByName(product_rows).unionByName(total_rows)
-    return tagged.groupBy("tag", "p1", "p2").agg(F.sum("n").alias("n"))
+    pairs = pair_weights(b).select("p1", "p2", "w", zero.alias("copies"), zero.alias("receipts"))
+    own = F.col("c") * (F.col("c") - 1) if self_pairs else zero
+    singles = all_items(b).select(F.col("product").alias("p1"), F.col("product").alias("p2"), own.alias("w"),
+                                  F.col("c").alias("copies"), zero.alias("receipts"))
+    total = receipts.select(null.alias("p1"), null.alias("p2"), zero.alias("w"), zero.alias("copies"),
+                            F.lit(1).cast("bigint").alias("receipts"))
+    facts = pairs.unionByName(singles).unionByName(total)
+    grain = F.grouping_id()  # 0: (p1, p2), 1: (p1), 3: ()
+    n = F.when(grain == 0, F.sum("w")).when(grain == 1, F.sum("copies")).otherwise(F.sum("receipts"))
+    tag = F.when(grain == 0, "pair").when(grain == 1, "product").otherwise("total")
+    sums = facts.groupingSets([["p1", "p2"], ["p1"], []], "p1", "p2").agg(tag.alias("tag"), n.alias("n"))
+    sums = sums.where(F.col("n") > 0)
+    row = lambda a, b: F.struct(F.col("tag"), a.alias("p1"), b.alias("p2"), F.col("n"))
+    same = row(F.col("p1"), F.col("p2"))
+    both = F.array(same, row(F.col("p2"), F.col("p1")))
+    return sums.select(F.inline(F.when((F.col("tag") == "pair") & (F.col("p1") != F.col("p2")), both)
+                                .otherwise(F.array(same))))

@@ -3,7 +3,8 @@
 Each step is a create-table-as-select under the session's shared checkpoint
 folder, read back by the next step:
 
-1. ``<prefix>_basket``: (rid, product, c), **bucketed and sorted by rid**;
+1. ``<prefix>_basket``: (rid, product, c) of plain receipts, **bucketed and
+   sorted by rid**, one file a bucket, and ``<prefix>_hot`` of hot ones;
 2. ``<prefix>_products``: occurrences per product;
 3. ``<prefix>_receipts``: the number of receipts (one row);
 4. ``<prefix>_pairs``: pair counts, from the basket joined with itself;
@@ -12,7 +13,9 @@ folder, read back by the next step:
 Because both sides of the self-join in step 4 read the same bucketed
 table, Spark joins bucket with bucket, with no shuffle of the basket.  The
 written tables also cut the lineage: a lost executor costs a re-read of a
-table, not a recomputation from the raw inputs.
+table, not a recomputation from the raw inputs.  All tables leave the catalog
+before the result is returned, and the basket's files are deleted; the files
+of the three small tables stay, since the result reads them.
 """
 
 from __future__ import annotations
@@ -21,30 +24,28 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from tillroll.operators.items import basket
 from tillroll.operators.rules import (
     HOT_ITEMS_DEFAULT,
-    _pair_table,
-    occurrences_from_basket,
+    Baskets,
+    make_baskets,
+    occurrences_from_baskets,
+    pair_counts_from_baskets,
     receipt_total,
     with_ratios,
 )
-from tillroll.session import scratch_path
+from tillroll.session import Scope
+from tillroll.sources.sinks import save_table
 
 
-def _ctas(df: DataFrame, name: str, buckets: int | None = None, by: str | None = None) -> DataFrame:
-    spark = df.sparkSession
-    writer = df.write.mode("overwrite").format("parquet").option("path", scratch_path(spark, name))
-    if buckets:
-        writer = writer.bucketBy(buckets, by).sortBy(by)
-    writer.saveAsTable(name)
-    return spark.table(name)
+def _ctas(scope: Scope, df: DataFrame, name: str, buckets: int | None = None, by: str | None = None) -> DataFrame:
+    save_table(df, scope.table(name), scope.path(name), bucket_by=by, buckets=buckets)
+    return scope.spark.table(name)
 
 
 def pair_rules_stepwise(items: DataFrame, receipts: DataFrame, buckets: int | None = None,
                         prefix: str | None = None, self_pairs: bool = True,
                         distinct_items: bool = False,
-                        hot_items: int | None = HOT_ITEMS_DEFAULT) -> DataFrame:
+                        hot_items: int | None = HOT_ITEMS_DEFAULT, sizes: DataFrame | None = None) -> DataFrame:
     """Same result as :func:`tillroll.operators.rules.pair_rules`, in written steps.
 
     ``buckets`` defaults to the session's shuffle partition count.
@@ -52,9 +53,14 @@ def pair_rules_stepwise(items: DataFrame, receipts: DataFrame, buckets: int | No
     spark = items.sparkSession
     prefix = prefix or f"tillroll_q3_{uuid.uuid4().hex[:10]}"
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    b = _ctas(basket(items.select("rid", "product"), distinct_items), f"{prefix}_basket", buckets, "rid")
-    occ = _ctas(occurrences_from_basket(b), f"{prefix}_products")
-    total = _ctas(receipt_total(receipts), f"{prefix}_receipts")
-    pairs = _ctas(_pair_table(b, "mirror", hot_items, self_pairs and not distinct_items), f"{prefix}_pairs")
-    return with_ratios(pairs.join(occ.withColumnRenamed("product", "p1"), "p1"), total)
-
+    result = Scope(spark)
+    with Scope(spark) as scope:
+        made = make_baskets(items, distinct_items, hot_items, sizes)
+        b = Baskets(_ctas(scope, made.plain, f"{prefix}_basket", buckets, "rid"),
+                    made.hot if made.hot is None else _ctas(scope, made.hot, f"{prefix}_hot"), hot_items)
+        occ = _ctas(result, occurrences_from_baskets(b), f"{prefix}_products")
+        total = _ctas(result, receipt_total(receipts), f"{prefix}_receipts")
+        pairs = _ctas(result, pair_counts_from_baskets(b, self_pairs and not distinct_items), f"{prefix}_pairs")
+        rules = with_ratios(pairs.join(occ.withColumnRenamed("product", "p1"), "p1"), total)
+    result.release()
+    return rules

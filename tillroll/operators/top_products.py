@@ -17,6 +17,19 @@ def monthly_counts_sum_of_ones(items: DataFrame) -> DataFrame:
             .groupBy("month", "product").agg(F.sum("one").alias("units")))
 
 
+def name_counts(counts: DataFrame, names: DataFrame, by: list[str], value: str) -> DataFrame:
+    """Counts per product key -> counts per product name.
+
+    ``counts`` has ``by`` columns, ``product`` (the key) and ``value``;
+    ``names`` has ``product, name``, one row per key.  The items are counted by
+    key first, so the join sees one row per group and key, never an item, and
+    the names' counts are a second sum.  Keys without a name drop out (inner
+    join).
+    """
+    named = counts.join(names, "product").select(*by, F.col("name").alias("product"), value)
+    return named.groupBy(*by, "product").agg(F.sum(value).alias(value))
+
+
 def top_k(counts: DataFrame, group: str, order_value: str, order_name: str,
           k: int, rank_col: str = "rank") -> DataFrame:
     """Keep the ``k`` best rows of every group: value descending, then name.
@@ -39,5 +52,9 @@ def monthly_top_products(items: DataFrame, k: int = 5) -> DataFrame:
     at equal units are ordered by product name ascending.  A month with
     fewer than ``k`` products has fewer rows.
     """
-    ranked = top_k(monthly_counts(items), "month", "units", "product", k)
-    return ranked.select("month", "rank", "product", "units")
+    return top_of_counts(monthly_counts(items), k)
+
+
+def top_of_counts(counts: DataFrame, k: int = 5) -> DataFrame:
+    """:func:`monthly_top_products` from ``month, product, units``."""
+    return top_k(counts, "month", "units", "product", k).select("month", "rank", "product", "units")

@@ -226,6 +226,20 @@ SELECT month,
 FROM top GROUP BY month""",
     "hive_revenue_sql": f"""WITH {ITEMS_BY_PARTKEY}, {PRICES_BY_PARTKEY}, {REVENUE}
 SELECT product, month, units, CAST(total * 100 AS BIGINT) AS total_cents FROM rev""",
+    "hive_rules_sql": f"WITH {ITEMS_BY_NAME}, {_rules(PAIRS_BY_NAME)} SELECT p1, p2, pair_count, support, confidence FROM rules",
+    "hive_rules_steps": f"""WITH {ITEMS_BY_NAME}, {PAIRS_BY_NAME},
+occ AS (SELECT product, count(*) AS occurrences FROM items GROUP BY product),
+num AS (SELECT o_orderkey AS rid, row_number() OVER (ORDER BY o_orderkey) AS id FROM orders),
+tot AS (SELECT max(id) AS receipts FROM num WHERE rid IN (SELECT rid FROM items))
+SELECT p1, p2, pair_count, CAST(pair_count AS DOUBLE) / receipts AS support,
+       CAST(pair_count AS DOUBLE) / occurrences AS confidence
+FROM pc JOIN occ ON p1 = product CROSS JOIN tot""",
+    "receipt_inner_empties": """WITH l AS (
+    SELECT l_orderkey AS rid, CAST(l_partkey AS VARCHAR) AS product, l_partkey % 2 = 0 AS gap,
+           row_number() OVER (PARTITION BY l_orderkey ORDER BY CAST(l_partkey AS VARCHAR) DESC) AS back
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT product, count(*) AS occurrences FROM l GROUP BY product
+UNION ALL SELECT '', count(*) FROM l WHERE gap AND back > 1 HAVING count(*) > 0""",
     "receipt_ids": """SELECT count(*) AS receipts, count(*) AS distinct_ids,
        count(*) AS max_number, count(*) AS distinct_numbers FROM orders""",
 }

@@ -20,7 +20,7 @@ from tillroll.functions.formats import percent1
 from tillroll.functions.tokens import drop_empty, split_tokens
 from tillroll.operators import ids, items as it, render, revenue, rules, stepwise, top_products
 from tillroll.plans import hive_sql
-from tillroll.session import scratch_path
+from tillroll.session import Scope, scratch_path
 from tillroll.sources import prices as pr
 from tillroll.sources import receipts as rc
 from tillroll.sources import sinks, tables
@@ -44,18 +44,29 @@ def _cents(name: str) -> F.Column:
     return (F.col(name) * F.lit(100)).cast("bigint")
 
 
+def _name_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Units per month and name: items are counted by part key, then the keys get their names."""
+    counts = top_products.monthly_counts(it.with_month(tables.order_items(spark, sf, "key")))
+    return top_products.name_counts(counts, tables.part_names(spark, sf), ["month"], "units")
+
+
 def _top(spark: SparkSession, sf: str) -> DataFrame:
-    return top_products.monthly_top_products(_name_items(spark, sf), TOP_K)
+    return top_products.top_of_counts(_name_counts(spark, sf), TOP_K)
 
 
 def _rules(spark: SparkSession, sf: str, **kw) -> DataFrame:
-    return rules.pair_rules(_name_items(spark, sf), tables.order_receipts(spark, sf), **kw)
+    return rules.pair_rules(_name_items(spark, sf), tables.order_receipts(spark, sf),
+                            sizes=tables.order_sizes(spark, sf), **kw)
+
+
+def _pairs(spark: SparkSession, sf: str, **kw) -> DataFrame:
+    return rules.pair_counts(_name_items(spark, sf), sizes=tables.order_sizes(spark, sf), **kw)
 
 
 # ---------------------------------------------------------------- Q1
 
 def q_monthly_product_counts(spark, sf):
-    return top_products.monthly_counts(_name_items(spark, sf))
+    return _name_counts(spark, sf)
 
 
 def q_units_sum_of_ones(spark, sf):
@@ -88,12 +99,12 @@ def q_ranked_list_sorted(spark, sf):
 
 
 def q_global_sort(spark, sf):
-    counts = top_products.monthly_counts(_name_items(spark, sf))
+    counts = _name_counts(spark, sf)
     return ids.with_row_number(counts, ["month", "product"], "position")
 
 
 def q_preview(spark, sf):
-    counts = top_products.monthly_counts(_name_items(spark, sf))
+    counts = _name_counts(spark, sf)
     return counts.orderBy(F.col("units").desc(), "month", "product").limit(PREVIEW_ROWS)
 
 
@@ -149,7 +160,8 @@ def q_price_dedup(spark, sf):
 # ---------------------------------------------------------------- Q3
 
 def q_product_occurrences(spark, sf):
-    return rules.product_occurrences(_name_items(spark, sf))
+    counts = rules.product_occurrences(tables.order_items(spark, sf, "key"))
+    return top_products.name_counts(counts, tables.part_names(spark, sf), [], "occurrences")
 
 
 def q_receipt_total(spark, sf):
@@ -157,15 +169,15 @@ def q_receipt_total(spark, sf):
 
 
 def q_pair_counts(spark, sf):
-    return rules.pair_counts(_name_items(spark, sf), form="ordered")
+    return _pairs(spark, sf, form="ordered")
 
 
 def q_pair_counts_mirror(spark, sf):
-    return rules.pair_counts(_name_items(spark, sf), form="mirror")
+    return _pairs(spark, sf, form="mirror")
 
 
 def q_pair_counts_selfjoin(spark, sf):
-    return rules.pair_counts(_name_items(spark, sf), self_pairs=False)
+    return _pairs(spark, sf, self_pairs=False)
 
 
 def q_pair_counts_events(spark, sf):
@@ -199,6 +211,7 @@ def q_pair_rules_unrounded_percent(spark, sf):
     return rows.select("p1", "p2", *[v.alias(c) for c, v in numbers.items()])
 
 
+SQL_HOT_ITEMS = 7  # receipts with more rows are split in the SQL form
 GRID_HOT_ITEMS = 3  # receipts with more than 3 distinct items take the bucket grid
 
 
@@ -215,11 +228,13 @@ def q_pair_counts_events_grid(spark, sf):
 
 def q_pair_rules_stepwise(spark, sf):
     """Pair rules with every step written as a table, the basket bucketed by receipt."""
-    return stepwise.pair_rules_stepwise(_name_items(spark, sf), tables.order_receipts(spark, sf))
+    return stepwise.pair_rules_stepwise(_name_items(spark, sf), tables.order_receipts(spark, sf),
+                                        sizes=tables.order_sizes(spark, sf))
 
 
 def q_one_pass_counts(spark, sf):
-    return rules.tagged_counts(_name_items(spark, sf), tables.order_receipts(spark, sf))
+    return rules.tagged_counts(_name_items(spark, sf), tables.order_receipts(spark, sf),
+                               sizes=tables.order_sizes(spark, sf))
 
 
 # ---------------------------------------------------------------- sources / sinks
@@ -253,6 +268,23 @@ def q_receipt_text_top5(spark, sf):
     return top_products.monthly_top_products(it.explode_items(back), TOP_K)
 
 
+def q_receipt_inner_empties(spark, sf):
+    """Items per product where lines have empty items inside and at their end.
+
+    A receipt without items is written as two empty ones; a line item of an even
+    part key is followed by an empty item.  With the rule ``inner`` an empty item
+    between others is an item, one at the end of a line is none.
+    """
+    path = scratch_path(spark, "receipts-empties")
+    rows = tables.order_receipt_arrays(spark, sf, "partkey")
+    gaps = F.flatten(F.transform("products", lambda p: F.when(
+        p.cast("bigint") % 2 == 0, F.array(p, F.lit(""))).otherwise(F.array(p))))
+    gaps = F.when(F.size("products") > 0, gaps).otherwise(F.array(F.lit(""), F.lit("")))
+    sinks.write_lines(rc.receipt_lines(rows.withColumn("products", gaps), "comma"), path)
+    back = rc.read_receipts(spark, path, "comma", empty="inner")
+    return rules.product_occurrences(it.explode_items(back))
+
+
 def q_price_text_roundtrip(spark, sf):
     path = scratch_path(spark, "prices")
     sinks.write_lines(pr.price_lines(tables.part_prices(spark, sf, "partkey")), path)
@@ -262,15 +294,18 @@ def q_price_text_roundtrip(spark, sf):
 
 def q_table_overwrite(spark, sf):
     tag = uuid.uuid4().hex[:12]
-    raw, dedup = f"tillroll_prices_{tag}", f"tillroll_price_max_{tag}"
-    raw_path, dedup_path = scratch_path(spark, raw), scratch_path(spark, dedup)
-    sinks.create_table(spark, raw, pr.PRICE_SCHEMA, raw_path)
-    prices = tables.part_prices(spark, sf, "name")
-    sinks.load_into_table(spark, prices, raw, raw_path)
-    sinks.load_into_table(spark, prices, raw, raw_path)  # replaces, never appends
-    sinks.drop_table(spark, dedup)
-    sinks.save_table(revenue.dedup_prices(sinks.read_table(spark, raw)), dedup, dedup_path)
-    back = sinks.read_table(spark, dedup)
+    result = Scope(spark)
+    with Scope(spark) as scope:
+        raw, dedup = scope.table(f"tillroll_prices_{tag}"), result.table(f"tillroll_price_max_{tag}")
+        raw_path, dedup_path = scope.path(raw), result.path(dedup)
+        sinks.create_table(spark, raw, pr.PRICE_SCHEMA, raw_path)
+        prices = tables.part_prices(spark, sf, "name")
+        sinks.load_into_table(spark, prices, raw, raw_path)
+        sinks.load_into_table(spark, prices, raw, raw_path)  # replaces, never appends
+        sinks.drop_table(spark, dedup)
+        sinks.save_table(revenue.dedup_prices(sinks.read_table(spark, raw)), dedup, dedup_path)
+        back = sinks.read_table(spark, dedup)
+    result.release()  # out of the catalog; its files stay for the result
     return back.select("product", _cents("price").alias("price_cents"))
 
 
@@ -290,13 +325,22 @@ def q_rules_text_sink(spark, sf):
 
 
 def q_hive_top5_sql(spark, sf):
-    return hive_sql.top_columns_sql(spark, tables.order_receipt_arrays(spark, sf, "name")
-                                    .withColumnRenamed("products", "list"))
+    return hive_sql.top_columns_sql(spark, tables.order_lists(spark, sf))
 
 
 def q_hive_revenue_sql(spark, sf):
-    receipts = tables.order_receipt_arrays(spark, sf, "partkey").withColumnRenamed("products", "list")
-    return hive_sql.revenue_sql(spark, receipts, tables.part_prices(spark, sf, "partkey"))
+    return hive_sql.revenue_sql(spark, tables.order_lists(spark, sf, "partkey"),
+                                tables.part_prices(spark, sf, "partkey"))
+
+
+def q_hive_rules_sql(spark, sf):
+    """Rules as one SQL statement; the largest receipts go the split way."""
+    return hive_sql.rules_sql(spark, tables.order_lists(spark, sf), tables.order_receipts(spark, sf),
+                              hot_items=SQL_HOT_ITEMS)
+
+
+def q_hive_rules_steps(spark, sf):
+    return hive_sql.rules_steps_sql(spark, tables.order_lists(spark, sf), tables.order_receipts(spark, sf))
 
 
 def q_receipt_ids(spark, sf):
@@ -312,8 +356,7 @@ def q_receipt_ids(spark, sf):
 
 
 def q_month_labels(spark, sf):
-    counts = revenue.product_month_counts(_partkey_items(spark, sf))
-    months = counts.select("month").distinct()
+    months = _partkey_items(spark, sf).select("month").distinct()
     return months.select("month", month_label("month", "MM/yyyy").alias("month_slash"),
                          month_label("month", "MM-yyyy").alias("month_dash"))
 
@@ -364,4 +407,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rules_text_sink": q_rules_text_sink,
     "hive_top5_sql": q_hive_top5_sql,
     "hive_revenue_sql": q_hive_revenue_sql,
+    "hive_rules_sql": q_hive_rules_sql,
+    "hive_rules_steps": q_hive_rules_steps,
+    "receipt_inner_empties": q_receipt_inner_empties,
 }

@@ -4,21 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+REBALANCE_CONF = "spark.tillroll.rebalanceScans"
 
-def spread_rows(df: DataFrame) -> DataFrame:
-    """Hash-spread a scan that has fewer splits than the session has cores.
+
+def rebalance_scan(df: DataFrame, rebalance: bool | None = None) -> DataFrame:
+    """Let adaptive execution deal out a scan's rows evenly, if asked to.
 
     A Parquet file is split by row groups and a compressed text file not at
-    all; a file with one large row group, or one gzip file, is read by one
-    task, and everything up to the first shuffle (joins, partial
-    aggregation) would run in that task.  Only in that case the
-    rows are hash-partitioned on all their columns right after the scan:
-    deterministic on retry (no sort needed, unlike round robin) and
-    matching no later grouping, so the later shuffles of the plan, which
-    are computed once and reused by all its branches, stay as they are.  A
-    scan with enough splits, as at scale, is returned unchanged.
+    all, so a file with one large row group, or one gzip file, is read by one
+    task, with everything up to the first shuffle.  ``rebalance=True`` adds
+    Spark's REBALANCE hint: one exchange whose partitions adaptive execution
+    sizes from what it measures.  ``None`` takes the session's
+    ``spark.tillroll.rebalanceScans`` (default false), for files that are few
+    and large.  Nothing is looked at and no job is started while the plan is
+    built; a scan with many splits, as at scale, needs none of it.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *df.columns)
+    if rebalance is None:
+        rebalance = df.sparkSession.conf.get(REBALANCE_CONF, "false").lower() == "true"
+    return df.hint("rebalance") if rebalance else df

@@ -34,15 +34,23 @@ def write_key_value(df: DataFrame, path: str, key: str, value: str,
 
 
 def save_table(df: DataFrame, name: str, path: str | None = None,
-               partition_by: list[str] | None = None) -> None:
+               partition_by: list[str] | None = None, bucket_by: str | None = None,
+               buckets: int | None = None) -> None:
     """Create-or-replace a Parquet table from a DataFrame (CTAS).
 
     With ``path`` the table is external at that location (for a shared
-    folder); otherwise it lives in the session's warehouse.
+    folder); otherwise it lives in the session's warehouse.  ``bucket_by``
+    with ``buckets`` writes it bucketed and sorted by that column: the rows are
+    first partitioned as the buckets are, so each bucket is one file, not one
+    of every task.
     """
+    if bucket_by:
+        df = df.repartition(buckets, bucket_by)
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)

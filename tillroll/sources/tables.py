@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.sources.layout import spread_rows
+from tillroll.sources.layout import rebalance_scan
 
 
 # The columns each adapter reads, with the types of the test
@@ -49,10 +49,10 @@ def order_items(spark: SparkSession, sf_dir: str, product: str = "name") -> Data
     """One row per line item: ``rid, data, product``.
 
     ``product='name'`` uses ``p_name``; ``product='partkey'`` uses the part
-    key as text.  Items of orders that do not exist are not receipt items
+    key as text, ``product='key'`` as it is.  Items of orders that do not exist are not receipt items
     (inner join with ``orders``).
     """
-    lines = spread_rows(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"))
+    lines = rebalance_scan(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     items = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
     if product == "name":
@@ -61,12 +61,29 @@ def order_items(spark: SparkSession, sf_dir: str, product: str = "name") -> Data
         prod = F.col("p_name")
     elif product == "partkey":
         prod = F.col("l_partkey").cast("string")
+    elif product == "key":
+        prod = F.col("l_partkey")
     else:
-        raise ValueError(f"product must be 'name' or 'partkey', got {product!r}")
+        raise ValueError(f"product must be 'name', 'partkey' or 'key', got {product!r}")
     return items.select(
         F.col("o_orderkey").alias("rid"), F.col("o_orderdate").alias("data"), prod.alias("product"))
 
 
+def order_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``rid, size``: line items per order, from one narrow scan (no join).
+
+    An estimate for :mod:`tillroll.operators.rules`: it counts lines without
+    an order or a part too.
+    """
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("rid"))
+    return lines.where(F.col("rid").isNotNull()).groupBy("rid").agg(F.count(F.lit(1)).alias("size"))
+
+
+def part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``product, name``: part keys and their names."""
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product"), F.col("p_name").alias("name"))
+
+
 def part_prices(spark: SparkSession, sf_dir: str, key: str = "partkey") -> DataFrame:
     """Price list ``product STRING, price DECIMAL(12,2)`` from ``part``."""
     part = table(spark, sf_dir, "part")
@@ -83,15 +100,19 @@ def _event_basket_id() -> F.Column:
 
 def event_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as baskets: receipt = (user, day), item = event type."""
-    ev = spread_rows(table(spark, sf_dir, "events").select("user_id", "ts", "event_type"))
+    ev = rebalance_scan(table(spark, sf_dir, "events").select("user_id", "ts", "event_type"))
     return ev.select(_event_basket_id().alias("rid"), F.col("ts").alias("data"),
                      F.col("event_type").alias("product"))
 
 
-def event_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (user, day) basket."""
-    ev = table(spark, sf_dir, "events").select("user_id", "ts")
-    return ev.select(_event_basket_id().alias("rid")).distinct()
+def order_lists(spark: SparkSession, sf_dir: str, product: str = "name") -> DataFrame:
+    """``(rid, data STRING, list ARRAY<STRING>)`` for SQL with LATERAL VIEW.
+
+    A row per line item, each with a list of one: a receipt has several rows,
+    and nothing is gathered by receipt.
+    """
+    return order_items(spark, sf_dir, product).select(
+        "rid", F.date_format("data", "yyyy-MM-dd").alias("data"), F.array("product").alias("list"))
 
 
 def order_receipt_arrays(spark: SparkSession, sf_dir: str, product: str = "name") -> DataFrame:
