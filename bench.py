@@ -50,7 +50,9 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = build_session(
         f"local[{cpus}]", shuffle_partitions=2 * cpus, app_name="tillroll-bench",
-        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
+        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
+               # each test table is one file with one row group, so one task would read it
+               "spark.tillroll.rebalanceScans": "true"})
     for name in HEADLINE.values():
         run(spark, name, sf_dir)
     times = {}

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.sources.layout import fits_broadcast
+
 
 def monthly_counts(items: DataFrame) -> DataFrame:
     """Units per (month, product): ``month, product, units BIGINT``."""
@@ -30,6 +32,20 @@ def name_counts(counts: DataFrame, names: DataFrame, by: list[str], value: str)
     return named.groupBy(*by, "product").agg(F.sum(value).alias(value))
 
 
+def named_counts(items: DataFrame, names: DataFrame, by: list[str], value: str) -> DataFrame:
+    """Items per ``by`` and product name, from items with product keys.
+
+    A name table below the broadcast threshold (a checked size) is joined in the
+    map tasks, so their partial counts are by name already.  A larger one meets
+    counts by key (:func:`name_counts`).  Either way no item is shuffled by its key.
+    """
+    if fits_broadcast(names):
+        named = items.join(F.broadcast(names), "product").select(*by, F.col("name").alias("product"))
+        return named.groupBy(*by, "product").agg(F.count(F.lit(1)).alias(value))
+    counts = items.where(F.col("product").isNotNull()).groupBy(*by, "product").agg(F.count(F.lit(1)).alias(value))
+    return name_counts(counts, names, by, value)
+
+
 def top_k(counts: DataFrame, group: str, order_value: str, order_name: str,
           k: int, rank_col: str = "rank") -> DataFrame:
     """Keep the ``k`` best rows of every group: value descending, then name.

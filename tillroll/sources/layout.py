@@ -13,12 +13,23 @@ def rebalance_scan(df: DataFrame, rebalance: bool | None = None) -> DataFrame:
     A Parquet file is split by row groups and a compressed text file not at
     all, so a file with one large row group, or one gzip file, is read by one
     task, with everything up to the first shuffle.  ``rebalance=True`` adds
-    Spark's REBALANCE hint: one exchange whose partitions adaptive execution
-    sizes from what it measures.  ``None`` takes the session's
+    Spark's REBALANCE hint on all columns: one exchange by hash (the same on a
+    retry) whose partitions adaptive execution sizes from what it measures.  ``None`` takes the session's
     ``spark.tillroll.rebalanceScans`` (default false), for files that are few
     and large.  Nothing is looked at and no job is started while the plan is
     built; a scan with many splits, as at scale, needs none of it.
     """
     if rebalance is None:
         rebalance = df.sparkSession.conf.get(REBALANCE_CONF, "false").lower() == "true"
-    return df.hint("rebalance") if rebalance else df
+    return df.hint("rebalance", *df.columns) if rebalance else df
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether a scan is known to be below the session's broadcast threshold.
+
+    The size comes from the files' metadata, as the optimizer estimates it; no
+    job is started.
+    """
+    plan = df._jdf.queryExecution()
+    limit = plan.sparkSession().sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(plan.optimizedPlan().stats().sizeInBytes())) <= limit
