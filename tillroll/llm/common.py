@@ -8,7 +8,8 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Tasks carry the functions they run, so executors need not have this library.
 cloudpickle.register_pickle_by_value(sys.modules["tillroll.llm"])
@@ -63,3 +64,30 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
 def utf8_values(column: pa.Array) -> list[bytes]:
     """The values of a string column as UTF-8 bytes; null counts as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+
+
+# A table of seen hashes as bits: at most so many words of 64 bits (16 M bits).
+SEEN_WORDS = 1 << 18
+
+
+def seen_bits(hashes: Column, frame: DataFrame) -> DataFrame:
+    """The bits ``word, bits`` of a BIGINT hash: at most ``SEEN_WORDS`` rows however many hashes there are."""
+    h = frame.where(hashes.isNotNull()).select(F.pmod(hashes, F.lit(SEEN_WORDS)).alias("word"), _bit(hashes).alias("bit"))
+    return h.groupBy("word").agg(F.bit_or("bit").alias("bits"))
+
+
+def split_seen(frame: DataFrame, hashes: Column, bits: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose hash may be among those of ``bits``, and rows whose hash is not.
+
+    A Bloom filter of one bit a hash, as a broadcast join of bounded size: no
+    row is shuffled.  The more hashes there are, the more rows pass in vain.
+    """
+    bits = F.broadcast(bits.select(F.col("word").alias("_seen_word"), F.col("bits").alias("_seen_bits")))
+    marked = frame.join(bits, F.pmod(hashes, F.lit(SEEN_WORDS)) == F.col("_seen_word"), "left")
+    seen = F.coalesce(F.col("_seen_bits").bitwiseAND(_bit(hashes)) != 0, F.lit(False))
+    return tuple(marked.where(w).select(*[frame[c] for c in frame.columns]) for w in (seen, ~seen))
+
+
+def _bit(hashes: Column) -> Column:
+    # shiftleft takes a column only through SQL; the bit comes from other bits of the hash than the word
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(hashes, 40).bitwiseAND(F.lit(63)).cast("int"))
