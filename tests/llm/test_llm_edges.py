@@ -3,6 +3,7 @@
 import json
 import os
 import random
+import re
 import shutil
 import struct
 
@@ -431,3 +432,262 @@ def test_reply_paths_of_long_and_random_trees(spark):
 
 def test_chat_of_no_rows(spark):
     assert chat.format_trees(chat.chains(spark.createDataFrame([], schema_of("conversations")))).collect() == []
+
+
+def test_line_dedup_keeps_columns_of_any_name(spark):
+    rows = [(i, "a\nb\nc\nd" if i < 3 else f"x{i}\ny{i}\nz\nw", *[f"{i}-{c}" for c in range(9)]) for i in range(5)]
+    names = ["doc_id", "text", "__key", "__id", "__text", "key", "id", "lines", "gone", "u0", "removed"]
+    d = spark.createDataFrame(rows, names)
+    got = {r.doc_id: r for r in line_dedup.dedup_documents(d, length_col=None).collect()}
+    assert line_dedup.dedup_documents(d, length_col=None).columns == names
+    for r in rows:
+        assert tuple(got[r[0]])[2:] == r[2:] and got[r[0]].text == (r[1] if r[0] in (0, 3, 4) else "")
+
+
+def test_equal_first_hashes_of_lines_say_nothing_of_the_second(spark):
+    """The second hash is no function of the first: it starts from another seed, not from the first hash."""
+    import xxhash
+
+    def signed(x):
+        return x - (1 << 64) if x >> 63 else x
+
+    lines = ["", "a", "line one", "Ünï 你好" * 9]
+    d = spark.createDataFrame([(x,) for x in lines], "line STRING")
+    seed = xxhash.xxh64_intdigest(struct.pack("<i", line_dedup._SALT), 42)
+    for r in d.select("line", *[h.alias(c) for h, c in zip(line_dedup.line_hashes(F.col("line")), "ab")]).collect():
+        assert r.a == signed(xxhash.xxh64_intdigest(r.line.encode(), 42))
+        assert r.b == signed(xxhash.xxh64_intdigest(r.line.encode(), seed))
+
+
+@pytest.mark.parametrize("name", ["plain/", "a[b]c{d,e}", "what?*"])
+def test_exact_dedup_takes_paths_as_they_are(spark, tmp_path, name):
+    path = f"{tmp_path}/{name}"
+    os.makedirs(path)
+    frame(spark).coalesce(1).write.mode("overwrite").parquet(f"{tmp_path}/made")
+    made = [f for f in os.listdir(f"{tmp_path}/made") if f.endswith(".parquet")][0]
+    shutil.copy(f"{tmp_path}/made/{made}", f"{path.rstrip('/')}/{made}")
+    got = exact_dedup.dedup_table(spark, path, schema_of("documents")).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted([*map(str, range(len(TEXTS))), "5", "None"])
+
+
+def test_seen_bits_let_all_seen_rows_pass(spark):
+    from tillroll.llm import common
+
+    d = spark.range(5000).select("id", F.xxhash64("id").alias("h"))
+    bits = common.seen_bits(F.col("h"), d.where("id % 50 = 0"))
+    seen, other = (x.select("id").collect() for x in common.split_seen(d, F.col("h"), bits))
+    seen, other = {r.id for r in seen}, {r.id for r in other}
+    assert set(range(0, 5000, 50)) <= seen and len(seen) < 200 and seen | other == set(range(5000)) and not seen & other
+    none, rest = common.split_seen(d, F.col("h"), common.seen_bits(F.col("h"), d.limit(0)))
+    assert none.count() == 0 and rest.count() == 5000
+
+
+def test_chunk_maps_compose_associatively():
+    rng = random.Random(2)
+    for _ in range(300):
+        a, b, c = ({token_counts.ANY: rng.randrange(4)} if rng.random() < 0.2 else
+                   {i: rng.randrange(4) for i in rng.sample(range(4), rng.randrange(5))} for _ in range(3))
+        join = token_counts.compose
+        assert join(join(a, b), c) == join(a, join(b, c))
+    maps = [{token_counts.ANY: 0}] + [{i: rng.randrange(4) for i in range(4)} for _ in range(40)]
+    want = [maps[0]]
+    for m in maps[1:]:
+        want.append(token_counts.compose(want[-1], m))
+    assert token_counts.prefix_maps(maps) == want and all(token_counts.ANY in m for m in want)
+
+
+def test_counts_of_runs_without_a_pretoken_start():
+    from tokenizers import Tokenizer
+
+    file = open(queries.TOKENIZER, "rb").read()
+    counter, tok = token_counts.TokenCounter(file), Tokenizer.from_str(file.decode())
+    rng = random.Random(6)
+    texts = ["a" * 3000, "日本語" * 4000, "".join(rng.choices("etaoin", k=30_000)), "".join(rng.choices("abcxyz", k=5000)) + " x",
+             "ab" * 9000 + " word " + "q" * 2000, "".join(rng.choices("letrs", k=1_000_000))]
+    assert counter.count(texts) == [len(tok.encode(t, add_special_tokens=False).ids) for t in texts]
+    again = token_counts.TokenCounter(file)
+    assert again.count(texts[:2]) == counter.count(texts[:2])
+
+
+def changed_tokenizer(tmp_path, **changes):
+    settings = json.load(open(queries.TOKENIZER))
+    for part, values in changes.items():
+        settings[part] = {**settings[part], **values} if settings.get(part) and values else values
+    path = tmp_path / "changed.json"
+    path.write_text(json.dumps(settings))
+    return path.read_bytes()
+
+
+@pytest.mark.parametrize("changes", [{"pre_tokenizer": {"add_prefix_space": True}}, {"pre_tokenizer": {"use_regex": False}},
+                                     {"normalizer": {"type": "Lowercase"}}, {"model": {"dropout": 0.5}}])
+def test_unsupported_tokenizers_are_errors(tmp_path, changes):
+    file = changed_tokenizer(tmp_path, **changes)
+    for make in (packing.tokenizer_encoder, token_counts.TokenCounter):
+        with pytest.raises(ValueError):
+            make(file)
+
+
+def test_other_patterns_are_errors():
+    ranks = byte_bpe.read_ranks(queries.MULTI_RANKS)
+    with pytest.raises(ValueError):
+        byte_bpe.ByteBpe(byte_bpe.model_bytes(ranks), r"\w+|\W+")
+    byte_bpe.ByteBpe(byte_bpe.model_bytes(ranks), public_tokenizers.PATTERN)
+
+
+def test_many_queues_are_scheduled_at_once():
+    import time
+
+    rng = np.random.default_rng(1)
+    began = time.time()
+    totals = rng.integers(0, 5000, packing.MAX_QUEUES).tolist()
+    schedule = packing.Schedule(totals, [max(t, 1) for t in totals], 256, 1024)
+    assert time.time() - began < 20
+    queue = np.repeat(np.arange(len(totals)), schedule.slots)
+    k = np.arange(len(queue)) - np.repeat(np.cumsum(schedule.slots) - schedule.slots, schedule.slots)
+    place = schedule.position(queue, k)
+    size = np.minimum(256, np.array(totals)[queue] - 256 * k)
+    order = np.argsort(place)
+    assert (place[order] == np.cumsum(size[order]) - size[order]).all()
+
+
+def test_extreme_targets_place_every_slot_once():
+    totals = [5_000_000, 5_000_000]
+    schedule = packing.Schedule(totals, [1.0, 1e-9], 256, 1024)
+    queue = np.repeat(np.arange(2), schedule.slots)
+    k = np.concatenate([np.arange(n) for n in schedule.slots])
+    place = schedule.position(queue, k)
+    size = np.minimum(256, np.array(totals)[queue] - 256 * k)
+    order = np.argsort(place)
+    assert (place[order] == np.cumsum(size[order]) - size[order]).all()
+    assert place[queue == 0].max() < place[queue == 1].min()
+    with pytest.raises(ValueError):
+        packing.Schedule([1 << 60], [1.0], 256, 1024)
+
+
+TREE = "tree BIGINT, node BIGINT, parent BIGINT, role STRING, text STRING, score DOUBLE"
+
+
+def test_all_branches_and_repeated_messages(spark):
+    rows = [(1, 1, None, "user", "q", 0.0), (1, 2, 1, "assistant", "a", 1.0), (1, 3, 1, "assistant", "b", 5.0),
+            (1, 3, 1, "assistant", "b", 5.0), (1, 2, 1, "assistant", "other", 1.0), (1, None, 1, "user", "no node", 9.0),
+            (2, 1, None, "user", "word " * 100_000, None)]
+    for repeat in (1, 2):
+        got = chat.format_trees(spark.createDataFrame(rows * repeat, TREE), best=None).collect()
+        got = {(r.tree, r.branch): r for r in got}
+        assert set(got) == {(1, 1), (1, 2), (2, 1)}
+        assert (got[1, 1].leaf, got[1, 1].score, got[1, 1].n_turns) == (3, 5.0, 2) and "b<|im_end|>" in got[1, 1].formatted
+        assert got[1, 2].n_turns == 2 and ("a<|im_end|>" in got[1, 2].formatted) != ("other<|im_end|>" in got[1, 2].formatted)
+        if repeat == 1:
+            first = got[1, 2].formatted
+        assert got[1, 2].formatted == first and len(got[2, 1].formatted) > 500_000
+    best = chat.format_trees(spark.createDataFrame(rows, TREE), best=1).collect()
+    assert sorted((r.tree, r.leaf) for r in best) == [(1, 3), (2, 1)]
+
+
+def test_texts_meet_only_the_chosen_paths(spark):
+    """Nothing but keys is joined before the choice."""
+    rows = [(t, n, None if n == 1 else 1, "user", f"text {n}", float(n)) for t in (1, 2) for n in range(1, 200)]
+    plan = chat.format_trees(spark.createDataFrame(rows, TREE))._jdf.queryExecution().optimizedPlan().toString()
+    before_choice = plan.split("row_number()")[1]  # what lies below the ranking of branches
+    assert "row_number()" in plan and "text#" not in before_choice and "role#" not in before_choice
+
+
+def any_record(kind, body, version="1.1", id_="<urn:uuid:6a1c>", **headers):
+    head = {"WARC-Type": kind, "WARC-Record-ID": id_, "WARC-Date": "2024-02-29T12:00:00Z", **headers, "Content-Length": len(body)}
+    return f"WARC/{version}\r\n".encode() + "".join(f"{k.replace('_', '-')}: {v}\r\n" for k, v in head.items()).encode() + b"\r\n" + body + b"\r\n\r\n"
+
+
+def test_warc_reads_records_of_any_kind(spark, tmp_path):
+    import base64
+    import hashlib
+
+    page = b"HTTP/1.1 404 Not Found\r\nContent-Type: text/html\r\nX-Long: a\r\n b\r\n\r\n<p>gone</p>"
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n4\r\nabcd\r\n0\r\n\r\n"
+    digest = "sha1:" + base64.b32encode(hashlib.sha1(b"<p>gone</p>").digest()).decode()
+    records = [
+        any_record("warcinfo", b"software: x\r\n", "1.0", Content_Type="application/warc-fields"),
+        any_record("request", b"GET / HTTP/1.1\r\nHost: x\r\n\r\n", Content_Type="application/http; msgtype=request"),
+        any_record("response", page, WARC_Target_URI="http://x/", WARC_Payload_Digest=digest, Content_Type="application/http; msgtype=response"),
+        any_record("response", chunked, WARC_Payload_Digest="sha1:" + "A" * 32, Content_Type="application/http"),
+        any_record("metadata", b"via: y", WARC_Concurrent_To="<urn:uuid:1>"), any_record("conversion", "schön".encode()),
+        any_record("resource", b"", "1.0"),
+        any_record("revisit", b"HTTP/1.1 200 OK\r\n\r\n", Content_Type="application/http", WARC_Refers_To="<urn:uuid:6a1c>")]
+    (tmp_path / "a.warc.zst").write_bytes(warc.make_archive(records))
+    (tmp_path / "b.warc.zst").write_bytes(warc.make_archive([]))
+    got = warc.read_records(spark, str(tmp_path)).collect()
+    assert [r.record_type for r in got] == ["warcinfo", "request", "response", "response", "metadata", "conversion", "resource", "revisit"]
+    assert [r.status for r in got] == [None, None, 404, 200, None, None, None, 200]
+    assert got[2].payload == b"<p>gone</p>" and got[2].http_headers["X-Long"] == "a b" and got[2].target_uri == "http://x/"
+    assert got[5].payload.decode() == "schön" and got[7].refers_to == "<urn:uuid:6a1c>" and got[0].headers["WARC-Type"] == "warcinfo"
+    assert all(r.file.endswith("a.warc.zst") and r.record_id == "<urn:uuid:6a1c>" for r in got)
+    for harm in ((digest[:10], "sha1:AAAAA"), ("WARC/1.1", "WARC/0.9"), ("Content-Length: ", "Content-Length: 9")):
+        with pytest.raises(ValueError):
+            warc.parse_any(records[2].replace(*[x.encode() for x in harm]))
+    hexed = any_record("resource", b"abc", WARC_Payload_Digest="sha1:" + hashlib.sha1(b"abc").hexdigest(), WARC_Block_Digest="md5:x")
+    assert warc.parse_any(hexed)["payload"] == b"abc"
+
+
+def test_warc_files_hold_many_chunks_with_one_dictionary(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "CHUNK_BYTES", 400_000)
+    monkeypatch.setattr(warc, "ARCHIVE_CHUNKS", 3)
+    rng = random.Random(1)
+    pages = [(i, "u", f"{i} " + " ".join(f"word{rng.randrange(500)}" for _ in range(600))) for i in range(900)]
+    warc.write_archives(spark.createDataFrame(pages, schema_of("pages")).coalesce(1), str(tmp_path / "w"))
+    files = sorted(f for f in os.listdir(tmp_path / "w") if f.startswith("part-"))
+    data = [(tmp_path / "w" / f).read_bytes() for f in files]
+    assert len(files) >= 2 and all(struct.unpack_from("<I", d)[0] == warc.DICTIONARY_MAGIC for d in data)
+    assert all(d.count(struct.pack("<I", warc.DICTIONARY_MAGIC)) == 1 for d in data)
+    got = {r.page_id: bytes(r.payload) for r in warc.read_archives(spark, str(tmp_path / "w"), with_payload=True).collect()}
+    assert got == {i: t.encode() for i, _, t in pages}
+
+
+def plain_line_fails(line):
+    """The three line rules, written again over characters."""
+    words = [w for w in "".join(" " if c in "\x20\x09\x0a\x0b\x0c\x0d" else c for c in line).split(" ") if w]
+    odd = sum(c in "#*$%&|<>!~^=+{}[]\\@_" for c in line)
+    punctuation = odd >= 2 and odd / len(words) > 0.5 or len(words) >= 60 and not any(c in ".!?:;,…。！？،।" for c in line)
+    menu = sum(line.count(s) for s in ("|", " > ", "»", "·", "•", " / ", "→"))
+    navigation = menu >= 3 and menu / len(words) >= 0.2
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in line)
+    phrases = [p.decode() for p in quality_rules.PHRASES]
+    return punctuation or navigation or len(words) <= 40 and any(p in low for p in phrases)
+
+
+def test_line_verdicts_equal_brute_force_on_a_whole_table(spark):
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    removed = 0
+    for r in quality_rules.judge_documents(table).collect():
+        text = docs[r.doc_id]
+        counts = base_counts(text)
+        lines = text.split("\n")
+        gone = [x for x in lines if x.split() and plain_line_fails(x)]
+        lost = sum(len([w for w in re.split("[\x20\x09-\x0D]+", x) if w]) for x in gone)
+        assert (r.n_removed_lines, r.n_removed_words) == (len(gone), lost), r.doc_id
+        assert r.kept == (not counts[5] and lost <= 0.3 * counts[0])
+        assert r.clean_text == "\n".join(x for x in lines if x not in gone)
+        removed += len(gone)
+    assert removed > 20
+
+
+def test_first_split_equals_brute_force():
+    """The root of the first tree is the split of the largest gain over all bins of all features."""
+    rng = np.random.default_rng(5)
+    for _ in range(5):
+        x = np.round(rng.normal(size=(300, 4)), 1)
+        y = (x[:, rng.integers(4)] + 0.5 * rng.normal(size=300) > 0.2).astype(float)
+        model = classifier.fit_trees(x, y, trees=1, depth=1, bins=16)
+        p = y.mean()
+        grad, hess = p - y, np.full(300, p * (1 - p))
+
+        def gain(right):
+            side = lambda m: grad[m].sum() ** 2 / (hess[m].sum() + 1)
+            small = min(hess[right].sum(), hess[~right].sum()) < 5
+            return 0 if small else side(right) + side(~right) - grad.sum() ** 2 / (hess.sum() + 1)
+
+        cuts = {(f, c) for f in range(4) for c in np.unique(np.quantile(x[:, f], np.linspace(0, 1, 17)[1:-1]))}
+        best = max(gain(x[:, f] > c) for f, c in cuts)
+        right = x[:, model.feature[0, 0]] > model.threshold[0, 0]
+        assert abs(gain(right) - best) < 1e-9
+        for leaf, rows in zip(model.leaf[0], (~right, right)):
+            assert abs(leaf + 0.2 * grad[rows].sum() / (hess[rows].sum() + 1)) < 1e-9

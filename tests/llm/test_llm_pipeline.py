@@ -70,3 +70,31 @@ def test_run_on_empty_tables(spark, tmp_path):
     for name in ("documents", "labels"):
         spark.createDataFrame([], schema_of(name)).write.parquet(str(tmp_path / f"{name}.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_run_on_odd_documents(spark, tmp_path):
+    """Nulls, empty and long texts, repeated rows and ids, clashing extra columns: through all stages."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    rng = random.Random(8)
+    prose = lambda n: " ".join(f"Word{rng.randrange(10 ** 6)} has a no{rng.randrange(10 ** 6)}." for _ in range(n))
+    first, shared = prose(30), "\n".join(prose(4) for _ in range(3))
+    rows = [(0, None), (1, ""), (2, " \n\t"), (3, "too short"), (4, first), (5, first), (6, prose(6000)), (7, prose(30) + "\n" + shared),
+            (8, prose(30) + "\n" + shared), (8, "another text of the same id. " + prose(20)), (None, prose(25)), (9, "same same same " * 40)]
+    rows += [rows[6]]  # a repeated row
+    extra = [("z", 7, 7, 7)] * len(rows)
+    d = spark.createDataFrame([(i, t, None, f"s{len(t or '') % 2}", None, *e) for (i, t), e in zip(rows, extra)],
+                              schema_of("documents") + ", id STRING, key INT, lines INT, sig INT")
+    d.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 1, 0) for i in range(9)] + [(None, 1, 0), (4, None, None)], schema_of("labels")).write.parquet(
+        str(tmp_path / "labels.parquet"))
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    # 5 copies 4; 8 loses the shared lines; the repeated row stays twice; short, empty and repetitive texts go
+    kept = [first, rows[6][1], rows[6][1], rows[7][1], rows[8][1].split("\n")[0], rows[9][1], rows[10][1]]
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = sorted(len(tok.encode(t, add_special_tokens=False).ids) + 1 for t in kept)
+    assert sum(p.length for p in pieces) == sum(want)
+    assert sorted({p.doc_tokens for p in pieces}) == sorted(set(want))
+    assert {p.doc_id for p in pieces} == {4, 6, 7, 8, None}
