@@ -32,7 +32,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tillroll.llm.common import map_arrow, utf8_values
 
