@@ -89,6 +89,18 @@ class CachedEncoder:
         return [b"".join(coded[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
+def check_byte_level(settings: dict) -> None:
+    """Raise unless a ``tokenizers`` file (parsed JSON) is a byte-level BPE that cuts
+    texts by ``SPLIT_PATTERN``, changes nothing in them and has plain added tokens."""
+    model, pre = settings.get("model") or {}, settings.get("pre_tokenizer") or {}
+    if (model.get("type", "BPE") != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space")
+            or not pre.get("use_regex", True) or settings.get("normalizer")
+            or any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))):
+        raise ValueError("only byte-level BPE with the usual split pattern and without normaliser or prefix space is supported")
+    if any(t.get(k) for t in settings.get("added_tokens") or () for k in ("single_word", "lstrip", "rstrip")):
+        raise ValueError("added tokens must match as plain strings")
+
+
 def ranks_of(settings: dict) -> dict[bytes, int] | None:
     """Bytes to id of a ``tokenizers`` file (parsed JSON) that ranks can express.
 

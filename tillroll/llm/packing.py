@@ -12,8 +12,10 @@ every slot among all slots sent, and a document's place needs only three
 small facts: where its tokens begin in its queue, and the totals and targets
 of the queues.  The first is a running count inside the task that encoded it
 plus the totals of the tasks before; that table (one row per task and queue)
-carries the deficits across partitions.  No token is shuffled, no order over
-the corpus is sequential, and the driver sees one row per queue.
+carries the deficits across partitions.  It is broadcast up to
+``BROADCAST_ROWS`` rows, and then no token is shuffled; a larger one is joined
+by a shuffle of the encoded documents by task and queue.  No order over the
+corpus is sequential, and the driver sees one row per queue.
 
 The closed form sums over all queues, so it serves up to ``MAX_QUEUES`` of
 them.  With more, the same order comes from a range sort of the slots by round,
@@ -37,20 +39,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import map_arrow
-from tillroll.llm.encoding import CachedEncoder, RankEncoder, ranks_of
+from tillroll.llm.encoding import CachedEncoder, RankEncoder, check_byte_level, ranks_of
 from tillroll.llm.pretoken import Pretokenizer, probe_of_tokenizers
 from tillroll.session import scratch_path
 
 MAX_QUEUES = 4096  # of the closed form; with more queues the slots are sorted
 UNIT = 1 << 16  # deficits are counted in 1/UNIT tokens
 BROADCAST_ROWS = 200_000  # of the offsets table; beyond that it is joined by shuffle
-SORT_SLOTS = 200_000  # in a task of the sort
+SORT_SLOTS = 4_000_000  # in a task of the sort
 
 
 def tokenizer_encoder(file: bytes) -> CachedEncoder | RankEncoder:
-    """Encoder of a byte-level BPE tokenizer file, as the library gives the ids."""
+    """Encoder of a byte-level BPE tokenizer file, as the library gives the ids.
+
+    A file whose settings this encoder does not follow is an error.
+    """
     from tokenizers import Tokenizer
 
+    check_byte_level(json.loads(file))
     tok = Tokenizer.from_str(file.decode())
     special = {t.content: i for i, t in tok.get_added_tokens_decoder().items()}
     if len(special) > 1:
@@ -113,9 +119,14 @@ class Schedule:
         share = share / share.sum()
         self.quantum = np.maximum(1, np.round(share * window * UNIT)).astype(np.int64)
         self.slots = -(-self.totals // slot)
+        if self.slots.max(initial=0) >= 1 << 38:
+            raise ValueError("a queue has too many slots for 64-bit places")
+        # rounds after which a queue is empty: more of them change nothing, and products stay below 2**63
+        self.rounds = -(-self.slots * (slot * UNIT) // self.quantum)
         # the last slot of a queue may be short; later places move up
-        ends = np.array([int(self._rank(np.array([q]), self.slots[q:q + 1] - 1)[0]) if t else -1
-                         for q, t in enumerate(self.totals)], np.int64)
+        ends = np.full(len(self.totals), -1, np.int64)
+        some = np.flatnonzero(self.totals)
+        ends[some] = self._rank(some, self.slots[some] - 1)
         order = np.argsort(ends, kind="stable")
         self._ends = ends[order]
         self._missing = np.concatenate([[0], np.cumsum((self.slots * slot - self.totals)[order])])
@@ -126,7 +137,7 @@ class Schedule:
         turn = -(-(k + 1) * cost // self.quantum[queue])  # the round that sends it
         out = k.copy()
         for other in range(len(self.totals)):
-            rounds = turn - (queue <= other)
+            rounds = np.minimum(turn - (queue <= other), self.rounds[other])
             sent = np.minimum(self.slots[other], rounds * self.quantum[other] // cost)
             out += np.where(queue == other, 0, sent)
         return out
