@@ -13,12 +13,16 @@ demand, so only states that texts reach are compiled; a full table is emptied
 between blocks.
 
 Texts are read in lockstep: a block of texts is one byte stream cut into
-equal chunks, and one numpy step moves all chunks by a byte.  The map of a
-chunk from entry state to exit state is constant once the chunk holds a start
-of a pre-token, where the transducer is reset.  The exits of such chunks are
-known at once and fix the entries of their neighbours.  Other maps are not
-built: the chunks inside one very long pre-token are read one after another,
-each from the exit of the chunk before it.
+equal chunks, and one numpy step moves all chunks by a byte.  Every chunk has a
+map from entry state to exit state.  It is constant once the chunk holds a
+start of a pre-token, where the transducer is reset.  The map of a chunk inside
+one long pre-token is built over the entry states that occur: first the state
+that the chunk before leaves when it is read from the start state, as states
+soon forget what they began with.  The maps are composed by a parallel prefix
+scan in log2(chunks) steps, which gives the entry of every chunk; a chunk that
+is entered in a state its map does not have yet is read from that state too,
+all such chunks at once, and the scan is repeated.  At last all chunks are read
+once more, together, from their entries, for the counts.
 """
 
 from __future__ import annotations
@@ -31,6 +35,7 @@ from pyspark.sql import DataFrame
 
 from tillroll.llm.common import map_arrow
 from tillroll.llm.byte_bpe import byte_characters
+from tillroll.llm.encoding import check_byte_level
 from tillroll.llm.pretoken import Pretokenizer, probe_of_tokenizers
 
 START, DEAD = 0, 1
@@ -55,6 +60,8 @@ class Vocabulary:
         spelled = {k: b"".join(back[c] for c in k) for k in model["vocab"] if all(c in back for c in k)}
         self.id = {spelled[k]: v for k, v in model["vocab"].items() if k in spelled}
         self.bytes = {v: k for k, v in self.id.items()}
+        if max(map(len, self.id), default=0) > BIAS:  # a count lags by no more than the longest entry
+            raise ValueError(f"entries of more than {BIAS} bytes are not supported")
         self._merge: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, pair in enumerate(model["merges"]):
             a, b = (spelled[x] for x in (pair.split(" ") if isinstance(pair, str) else pair))
@@ -97,6 +104,29 @@ class Vocabulary:
         return known
 
 
+ANY = -1  # the entry of a constant map
+
+
+def compose(first: dict[int, int], second: dict[int, int]) -> dict[int, int]:
+    """The map of two chunks, one after the other, where both are known.
+
+    A map goes from entry states to exit states; one that holds ``ANY`` is
+    constant and holds nothing else.
+    """
+    if ANY in second:
+        return second
+    return {entry: second[exit] for entry, exit in first.items() if exit in second}
+
+
+def prefix_maps(maps: list[dict[int, int]]) -> list[dict[int, int]]:
+    """The composition of the maps up to each one, in log2(n) parallel steps."""
+    out, step = list(maps), 1
+    while step < len(out):
+        out = out[:step] + [compose(a, b) for a, b in zip(out, out[step:])]
+        step *= 2
+    return out
+
+
 class CountingTransducer:
     """Deterministic transducer: bytes in, changes of the token count out."""
 
@@ -196,27 +226,45 @@ class CountingTransducer:
         known = resets.any(axis=0)
         head = np.where(known, resets.argmax(axis=0), size)
 
-        # carry: a head is read as soon as the exit of the chunk before is known
-        todo = np.flatnonzero(head > 0)
-        while len(todo):
-            ready = known[todo - 1]
-            now = todo[ready]
-            carried = states[now - 1]
-            for t in range(int(head[now].max())):
-                on = head[now] > t
-                if not on.all():
-                    done = now[~on]
-                    through = head[done] == size
-                    states[done[through]] = carried[~on][through]
-                    now, carried = now[on], carried[on]
-                carried, emitted[t, now] = self._step(carried, columns[t, now], rows[t, now])
-            through = head[now] == size
-            states[now[through]] = carried[through]
-            known[todo[ready]] = True
-            todo = todo[~ready]
+        entry = self._entries(rows, columns, states, known)
+        now = np.flatnonzero(head > 0)
+        carried = entry[now]
+        for t in range(int(head.max(initial=0))):
+            on = head[now] > t
+            if not on.all():
+                now, carried = now[on], carried[on]
+            carried, emitted[t, now] = self._step(carried, columns[t, now], rows[t, now])
         return emitted.T.ravel()[:n]
 
 
+    def _entries(self, rows: np.ndarray, columns: np.ndarray, exits: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """The entry state of every chunk; chunks that are ``known`` leave in ``exits`` whatever their entry."""
+        inside = np.flatnonzero(~known)
+
+        def read(lanes: np.ndarray, states: np.ndarray) -> np.ndarray:
+            for t in range(len(rows)):
+                states, _ = self._step(states, columns[t, lanes], rows[t, lanes])
+            return states
+
+        maps = [{ANY: int(x)} if k else {} for x, k in zip(exits, known)]
+        guess = exits.copy()
+        if len(inside):
+            # a first guess of what the chunk before leaves
+            guess[inside] = read(inside, np.full(len(inside), START))
+        todo, states = inside, guess[inside - 1]
+        while len(todo):
+            for lane, before, after in zip(todo.tolist(), states.tolist(), read(todo, states).tolist()):
+                maps[lane][before] = after
+            leaves = [m.get(ANY) for m in prefix_maps(maps)]
+            missing = [(lane, leaves[lane - 1]) for lane in inside.tolist()
+                       if leaves[lane - 1] is not None and leaves[lane - 1] not in maps[lane]]
+            todo = np.array([lane for lane, _ in missing], np.int64)
+            states = np.array([state for _, state in missing], np.int64)
+        if len(inside):
+            exits = np.array([m[ANY] for m in prefix_maps(maps)], np.int64)
+        return np.concatenate([[START], exits[:-1]])
+
+
 class TokenCounter:
     """Token counts of texts, one per worker; ``file`` is the tokenizer file."""
 
@@ -224,12 +272,7 @@ class TokenCounter:
         from tokenizers import Tokenizer
 
         spec = json.loads(file)
-        before = spec.get("pre_tokenizer") or {}
-        if spec.get("normalizer") or before.get("type") != "ByteLevel" or before.get("add_prefix_space"):
-            raise ValueError("only byte-level BPE without normaliser or prefix space is compiled")
-        for t in spec["added_tokens"]:
-            if t["single_word"] or t["lstrip"] or t["rstrip"]:
-                raise ValueError("added tokens must match as plain strings")
+        check_byte_level(spec)
         self._special = [t["content"] for t in spec["added_tokens"]]
         if len(self._special) > 1:
             raise ValueError("one added token is supported")
