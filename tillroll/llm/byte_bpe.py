@@ -23,7 +23,11 @@ from pyspark.sql import DataFrame
 
 from tillroll.llm.common import map_arrow
 from tillroll.llm.encoding import CachedEncoder
-from tillroll.llm.pretoken import Pretokenizer, probe_of_tiktoken
+from tillroll.llm.pretoken import SPLIT_PATTERN, Pretokenizer, probe_of_tiktoken
+
+# Spellings of the one pattern by which texts are cut.
+PATTERNS = (SPLIT_PATTERN, r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+",
+            r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s")
 
 BPE_MODEL, NORMAL_PIECE, UNKNOWN_PIECE = 2, 1, 2  # fixed values of the model format
 
@@ -85,6 +89,8 @@ class ByteBpe:
     def __init__(self, model: bytes, pattern: str):
         import sentencepiece
 
+        if pattern not in PATTERNS:
+            raise ValueError(f"texts can only be cut by {SPLIT_PATTERN!r}, not by {pattern!r}")
         self._sp = sentencepiece.SentencePieceProcessor()
         self._sp.LoadFromSerializedProto(model)
         chars = byte_characters()
