@@ -5,10 +5,12 @@ enumerated by iterative self-joins: a table of jumps (node to its ancestor
 2^k replies up) is joined with itself to double the distance, and the leaves
 are joined with the jumps from the longest down, so a path of n messages
 takes about log2(n) joins and exactly its own rows.  Branches are ranked by
-score, and each chosen path is formatted as one conversation.
+score, and each chosen path is formatted as one conversation.  Paths, scores and
+the choice work on keys; texts are joined to the chosen paths only.
 
 All steps are DataFrame functions.  The tables of jumps hold keys only and
-are written by a reliable checkpoint each.
+are written by a reliable checkpoint each; the doubling ends when no message
+has an ancestor that far up.
 
 Format of a message: ``<|im_start|>role``, a line break, the text,
 ``<|im_end|>``, a line break.  Inside roles and texts ``<|`` becomes ``<||``,
@@ -53,20 +55,22 @@ def reply_paths(nodes: DataFrame) -> DataFrame:
     the leaf.  A parent that does not exist makes its replies unreachable, as
     does a circle of parents; messages below those belong to no path.
     """
-    spark = nodes.sparkSession
-    scratch_root(spark)
+    scratch_root(nodes.sparkSession)
     links = nodes.select("tree", "node", "parent").checkpoint()
-    deepest = links.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
+    largest = links.groupBy("tree").count().agg(F.max("count")).first()[0] or 0  # ends the doubling of a circle
     children = links.where("parent is not null").select(F.col("tree").alias("t"), F.col("parent").alias("p")).distinct()
     leaves = links.join(children, links["tree"].eqNullSafe(children["t"]) & (links["node"] == children["p"]),
                         "left_anti")
     paths = leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up"))
 
     jumps = [links.where("parent is not null").select("tree", "node", F.col("parent").alias("above"))]
-    while 2 ** len(jumps) < deepest:
+    while 2 ** len(jumps) < largest:
         a, b = jumps[-1].alias("a"), jumps[-1].alias("b")
-        jumps.append(a.join(b, F.col("a.tree").eqNullSafe(F.col("b.tree")) & (F.col("a.above") == F.col("b.node")))
-                     .select("a.tree", "a.node", F.col("b.above").alias("above")).checkpoint())
+        twice = (a.join(b, F.col("a.tree").eqNullSafe(F.col("b.tree")) & (F.col("a.above") == F.col("b.node")))
+                 .select("a.tree", "a.node", F.col("b.above").alias("above")).checkpoint())
+        if twice.isEmpty():
+            break
+        jumps.append(twice)
     for k in reversed(range(len(jumps))):
         j = jumps[k].select(F.col("tree").alias("jt"), F.col("node").alias("jn"), "above")
         further = paths.join(j, paths["tree"].eqNullSafe(j["jt"]) & (paths["node"] == j["jn"])).select(
@@ -79,28 +83,43 @@ def reply_paths(nodes: DataFrame) -> DataFrame:
     return paths.join(whole, paths["tree"].eqNullSafe(whole["wt"]) & (paths["leaf"] == whole["wl"]), "left_semi")
 
 
-def format_trees(nodes: DataFrame, best: int = 1, loss_role: str = "assistant") -> DataFrame:
-    """Format the ``best`` branches of every tree as one conversation each.
+def format_trees(nodes: DataFrame, best: int | None = 1, loss_role: str = "assistant") -> DataFrame:
+    """Format the ``best`` branches of every tree as one conversation each (None: all of them).
 
     ``nodes``: ``tree, node, parent, role, text, score``.  A branch scores the
     sum of its messages' scores (null: 0); ties go to the smaller leaf.  A
-    null role or text is empty.  Result: ``tree, leaf, branch`` (1 is best),
+    null role or text is empty.  Of several rows with the same tree and node one
+    counts, the same on every run; a row with a null node is no message, a null
+    tree is a tree.  Result: ``tree, leaf, branch`` (1 is best),
     ``score, n_turns, formatted`` and ``loss_runs``: consecutive lengths of
     ``formatted`` in code points with whether they carry loss (the texts of
     ``loss_role``).  An empty table gives no rows; other columns are not read.
     """
-    messages = nodes.select(F.col("tree").alias("mt"), F.col("node").alias("mn"), F.coalesce("score", F.lit(0.0)).alias("s"),
-                            F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    paths = reply_paths(nodes)
-    full = paths.join(messages, paths["tree"].eqNullSafe(messages["mt"]) & (paths["node"] == messages["mn"]))
+    row = F.xxhash64("parent", "score", "role", "text")
+    nodes = nodes.where("node is not null").select(
+        "tree", "node", "parent", "score", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    keys = (nodes.select("tree", "node", F.struct(row.alias("row"), "parent", F.coalesce("score", F.lit(0.0)).alias("s")).alias("x"))
+            .groupBy("tree", "node").agg(F.min("x").alias("x")).select("tree", "node", "x.*").checkpoint())
+    paths = reply_paths(keys)
+
+    # the choice, on keys
+    points = keys.select(F.col("tree").alias("kt"), F.col("node").alias("kn"), "s", "row")
+    scored = paths.join(points, paths["tree"].eqNullSafe(points["kt"]) & (paths["node"] == points["kn"])).select(
+        "tree", "leaf", "node", "up", "s", "row")
+    order = Window.partitionBy("tree").orderBy(F.desc("score"), "leaf")
+    chosen = scored.groupBy("tree", "leaf").agg(F.sum("s").alias("score")).withColumn("branch", F.row_number().over(order))
     if best is not None:
-        scores = full.groupBy("tree", "leaf").agg(F.sum("s").alias("score"))
-        order = Window.partitionBy("tree").orderBy(F.desc("score"), "leaf")
-        chosen = (scores.withColumn("branch", F.row_number().over(order)).where(F.col("branch") <= best)
-                  .select(F.col("tree").alias("ct"), F.col("leaf").alias("cl"), "score", "branch"))
-    full = full.join(chosen, full["tree"].eqNullSafe(chosen["ct"]) & (full["leaf"] == chosen["cl"]))
+        chosen = chosen.where(F.col("branch") <= best)
+    chosen = chosen.select(F.col("tree").alias("ct"), F.col("leaf").alias("cl"), "score", "branch")
+    scored = scored.join(chosen, scored["tree"].eqNullSafe(chosen["ct"]) & (scored["leaf"] == chosen["cl"])).select(
+        "tree", "leaf", "node", "up", "score", "branch", "row")
+
+    # texts of the chosen paths; equal rows of one message are one entry of the set
+    messages = nodes.select(F.col("tree").alias("mt"), F.col("node").alias("mn"), row.alias("mrow"), "role", "text")
+    full = scored.join(messages, scored["tree"].eqNullSafe(messages["mt"]) & (scored["node"] == messages["mn"])
+                       & (scored["row"] == messages["mrow"]))
     turns = (full.groupBy("tree", "leaf", "branch", "score")
-             .agg(F.sort_array(F.collect_list(F.struct((-F.col("up")).alias("at"), "role", "text"))).alias("turns")))
+             .agg(F.sort_array(F.collect_set(F.struct((-F.col("up")).alias("at"), "role", "text"))).alias("turns")))
     opened = lambda t: F.concat(F.lit(START), escape_role(t["role"]), F.lit("\n"))
     text = F.array_join(F.transform("turns", lambda t: F.concat(opened(t), escape(t["text"]), F.lit(END + "\n"))), "")
 
