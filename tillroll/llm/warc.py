@@ -4,14 +4,17 @@ An archive is a leading skippable frame that holds a compression dictionary,
 then one Zstandard frame per record.  The dictionary of an archive is trained
 from a spread of its own first records; an archive too small for that has none.
 
-Writing: records become archives of bounded size inside the tasks, and each
-archive is written by Spark's text sink as one row in a file of its own, so
-any file system and Spark's commit protocol apply.  The sink's line separator
-is an empty skippable frame, which readers of Zstandard ignore.
-
-Reading: files are read whole (their size is bounded when writing); the
-dictionary is loaded from the leading frame, every frame is decoded on its
-own, and version line, headers, lengths and digests are validated.
+Writing: a task's records become chunks of bounded size, and Spark's text sink
+writes ``ARCHIVE_CHUNKS`` of them as the rows of one file, so any file system and
+Spark's commit protocol apply.  The first chunk of each file begins with the
+dictionary, and the others are compressed with it.  The sink's line separator is
+an empty skippable frame, which readers of Zstandard ignore.
+
+Reading: files are read whole, so a file may have at most 2 GB (our own have
+about 60 MB); the dictionary is loaded from the leading frame, every frame is
+decoded on its own, and version line, headers, lengths and digests are
+validated.  :func:`read_records` reads any records (WARC/1.0 and 1.1, all types,
+any ids), :func:`read_archives` those of :func:`write_archives` as pages.
 """
 
 from __future__ import annotations
@@ -33,11 +36,12 @@ DICTIONARY_MAGIC = 0x184D2A5D
 SKIPPABLE = range(0x184D2A50, 0x184D2A60)
 FRAME_MAGIC = 0xFD2FB528
 EMPTY_FRAME = "P*M\x18\x00\x00\x00\x00"
-VERSION = b"WARC/1.1"
+VERSION, VERSIONS = b"WARC/1.1", (b"WARC/1.1", b"WARC/1.0")
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 NEEDED = ("WARC-Record-ID", "WARC-Type", "WARC-Date", "Content-Length")
 
-ARCHIVE_BYTES = 8 << 20  # of payloads, before compression
+CHUNK_BYTES = 8 << 20  # of payloads, before compression
+ARCHIVE_CHUNKS = 32  # in a file: 256 MB of payloads
 DICTIONARY_BYTES = 32 << 10
 SAMPLE_BYTES = 1 << 20
 
@@ -76,71 +80,125 @@ def make_record(page_id, url: str | None, payload: bytes, digest: str, refers_to
 
 
 def _headers(data: bytes, what: str) -> dict[str, str]:
+    """Header lines by name; a folded line belongs to the one before, values of a repeated name are listed."""
     out: dict[str, str] = {}
+    name = None
     for line in data.split(b"\r\n"):
-        name, colon, value = line.partition(b":")
-        if not colon or not name.strip():
+        if line[:1] in (b" ", b"\t") and name:
+            out[name] += " " + line.decode("utf-8", "replace").strip()
+            continue
+        first, colon, value = line.partition(b":")
+        if not colon or not first.strip():
             raise ValueError(f"{what}: malformed header line")
-        out[name.decode().strip()] = value.decode().strip()
+        name, text = first.decode("utf-8", "replace").strip(), value.decode("utf-8", "replace").strip()
+        out[name] = f"{out[name]}, {text}" if name in out else text
     return out
 
 
-def parse_record(data: bytes) -> dict:
-    """Validate one record and take it apart; raises ValueError."""
+def _check_digest(told: str | None, data: bytes, what: str) -> None:
+    """Compare a ``sha1:`` digest, base32 or hex; other algorithms are not checked."""
+    algorithm, _, value = (told or "").partition(":")
+    if algorithm.lower() != "sha1" or not value:
+        return
+    found = hashlib.sha1(data)
+    if value.upper().rstrip("=") != base64.b32encode(found.digest()).decode() and value.lower() != found.hexdigest():
+        raise ValueError(f"{what} digest does not match")
+
+
+def parse_any(data: bytes) -> dict:
+    """Validate a record of any type and take it apart; raises ValueError.
+
+    ``headers`` are the WARC headers, their names as written; ``status`` and
+    ``http_headers`` are those of an HTTP message (else null), ``payload`` is
+    the message's body, or the whole block where there is no HTTP message.
+    """
     head, gap, rest = data.partition(b"\r\n\r\n")
     version, _, lines = head.partition(b"\r\n")
-    if version != VERSION or not gap:
-        raise ValueError("record does not begin with a WARC/1.1 header")
+    if version not in VERSIONS or not gap:
+        raise ValueError("record does not begin with a WARC/1.0 or WARC/1.1 header")
     headers = _headers(lines, "WARC header")
-    if missing := [h for h in NEEDED if h not in headers]:
+    field = {k.lower(): v for k, v in headers.items()}
+    if missing := [h for h in NEEDED if h.lower() not in field]:
         raise ValueError(f"missing headers: {', '.join(missing)}")
-    if not headers["Content-Length"].isdigit() or len(rest) != int(headers["Content-Length"]) + 4:
+    if not field["content-length"].isdigit() or len(rest) != int(field["content-length"]) + 4:
         raise ValueError("Content-Length does not match the record")
     if rest[-4:] != b"\r\n\r\n":
         raise ValueError("record does not end with two line breaks")
     block = rest[:-4]
-    told = headers.get("WARC-Block-Digest")
-    if told and told != "sha1:" + base64.b32encode(hashlib.sha1(block).digest()).decode():
-        raise ValueError("block digest does not match")
-    http_head, gap, payload = block.partition(b"\r\n\r\n")
-    status, _, lines = http_head.partition(b"\r\n")
-    if not gap or not status.startswith(b"HTTP/"):
-        raise ValueError("block has no HTTP header")
-    http = _headers(lines, "HTTP header")
-    kind, digest = headers["WARC-Type"], headers.get("WARC-Payload-Digest", "").removeprefix("sha1:")
-    size = int(http["Content-Length"])
-    if kind == "response":
-        if size != len(payload):
-            raise ValueError("payload length does not match")
-        if digest != base64.b32encode(hashlib.sha1(payload).digest()).decode():
-            raise ValueError("payload digest does not match")
-    elif kind != "revisit" or "WARC-Refers-To" not in headers or payload:
+    _check_digest(field.get("warc-block-digest"), block, "block")
+    out = {"record_id": field["warc-record-id"], "record_type": field["warc-type"], "date": field["warc-date"],
+           "target_uri": field.get("warc-target-uri"), "content_type": field.get("content-type"), "headers": headers,
+           "refers_to": field.get("warc-refers-to"), "payload_digest": field.get("warc-payload-digest"),
+           "status": None, "http_headers": None, "payload": block}
+    if out["record_type"] in ("response", "request", "revisit") and (out["content_type"] or "").startswith("application/http"):
+        http_head, gap, out["payload"] = block.partition(b"\r\n\r\n")
+        first, _, lines = http_head.partition(b"\r\n")
+        words = first.split(b" ")
+        if not gap or not (words[0].startswith(b"HTTP/") or words[-1].startswith(b"HTTP/")):
+            raise ValueError("block has no HTTP header")
+        out["http_headers"] = _headers(lines, "HTTP header") if lines else {}
+        if words[0].startswith(b"HTTP/") and len(words) > 1 and words[1].isdigit():
+            out["status"] = int(words[1])
+    coded = any(k.lower() == "transfer-encoding" for k in out["http_headers"] or ())
+    if out["record_type"] in ("response", "resource") and not coded:
+        _check_digest(out["payload_digest"], out["payload"], "payload")
+    return out
+
+
+def parse_record(data: bytes) -> dict:
+    """Validate one record of :func:`write_archives` and give its page; raises ValueError."""
+    r = parse_any(data)
+    kind, payload = r["record_type"], r["payload"]
+    if kind not in ("response", "revisit") or r["http_headers"] is None:
         raise ValueError(f"unexpected record of type {kind}")
-    return {"page_id": page_of(headers["WARC-Record-ID"]), "payload_bytes": size, "payload_digest": digest,
-            "record_type": kind, "refers_to": page_of(headers["WARC-Refers-To"]) if kind == "revisit" else None,
+    size = int(r["http_headers"].get("Content-Length", -1))
+    if not (r["payload_digest"] or "").startswith("sha1:"):
+        raise ValueError("record has no payload digest")
+    if kind == "response" and size != len(payload):
+        raise ValueError("payload length does not match")
+    if kind == "revisit" and (not r["refers_to"] or payload):
+        raise ValueError(f"unexpected record of type {kind}")
+    return {"page_id": page_of(r["record_id"]), "payload_bytes": size, "payload_digest": r["payload_digest"][5:],
+            "record_type": kind, "refers_to": page_of(r["refers_to"]) if kind == "revisit" else None,
             "payload": payload if kind == "response" else None}
 
 
-def make_archive(records: list[bytes]) -> bytes:
-    """One archive: the dictionary in a skippable frame, then a frame per record."""
-    samples, size = [], 0
-    for r in records[::max(1, len(records) // 256)]:
-        samples.append(r[:64 << 10])
-        size += len(samples[-1])
-        if size > SAMPLE_BYTES:
-            break
-    dictionary = None
-    if len(samples) >= 16 and size >= 8 * DICTIONARY_BYTES:
+class Archive:
+    """One archive in the making: its dictionary is trained from the first chunk of records."""
+
+    def __init__(self):
+        self._compressor = None
+
+    def chunk(self, records: list[bytes]) -> bytes:
+        """A frame per record; before the first ones the dictionary in a skippable frame."""
+        out = []
+        if self._compressor is None:
+            dictionary = self._train(records)
+            if dictionary:
+                raw = dictionary.as_bytes()
+                out.append(struct.pack("<II", DICTIONARY_MAGIC, len(raw)) + raw)
+            self._compressor = zstandard.ZstdCompressor(level=3, dict_data=dictionary, write_checksum=True)
+        return b"".join(out + [self._compressor.compress(r) for r in records])
+
+    @staticmethod
+    def _train(records: list[bytes]):
+        samples, size = [], 0
+        for r in records[::max(1, len(records) // 256)]:
+            samples.append(r[:64 << 10])
+            size += len(samples[-1])
+            if size > SAMPLE_BYTES:
+                break
+        if len(samples) < 16 or size < 8 * DICTIONARY_BYTES:
+            return None
         try:
-            dictionary = zstandard.train_dictionary(DICTIONARY_BYTES, samples)
+            return zstandard.train_dictionary(DICTIONARY_BYTES, samples)
         except zstandard.ZstdError:
-            pass  # samples too alike or too small; the archive goes without
-    out = []
-    if dictionary:
-        raw = dictionary.as_bytes()
-        out.append(struct.pack("<II", DICTIONARY_MAGIC, len(raw)) + raw)
-    compressor = zstandard.ZstdCompressor(level=3, dict_data=dictionary, write_checksum=True)
-    return b"".join(out + [compressor.compress(r) for r in records])
+            return None  # samples too alike or too small; the archive goes without
+
+
+def make_archive(records: list[bytes]) -> bytes:
+    """One archive of one chunk."""
+    return Archive().chunk(records)
 
 
 def _frame_end(view: memoryview, at: int) -> int:
@@ -204,47 +262,50 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, date: str
     Of pages with equal payloads of ``least_bytes`` or more, those with the
     smallest id are responses and the others revisits of it; all smaller ones
     are responses.  A null payload is empty, a null url is ''; a null id comes
-    last; repeated rows are all written; other columns are not read.
+    last; repeated rows are all written; other columns are not read.  Payloads are
+    equal if their SHA-256 and SHA-1 are, as records that share a SHA-1 can be
+    made on purpose.
     """
     text = F.coalesce(pages[html_col], F.lit(""))
     rows = pages.select(pages[id_col].cast("long").alias("id"), pages[url_col].alias("url"), text.alias("html"),
-                        F.sha1(text.cast("binary")).alias("sha"))
-    firsts = (rows.where(F.octet_length("html") >= least_bytes).groupBy("sha")
+                        F.unhex(F.sha1(text.cast("binary"))).alias("sha"), F.unhex(F.sha2(text, 256)).alias("sha2"))
+    firsts = (rows.where(F.octet_length("html") >= least_bytes).groupBy("sha2", "sha")
               .agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
-              .where("n > 1").select(F.col("sha").alias("sha1"), "first"))
-    same = (rows["sha"] == firsts["sha1"]) & ~rows["id"].eqNullSafe(firsts["first"])
+              .where("n > 1").select(F.col("sha2").alias("same2"), F.col("sha").alias("same1"), "first"))
+    same = ((rows["sha2"] == firsts["same2"]) & (rows["sha"] == firsts["same1"])
+            & ~rows["id"].eqNullSafe(firsts["first"]))
     marked = rows.join(firsts, same, "left").select(
-        "id", "url", "html", F.to_binary("sha", F.lit("hex")).alias("sha"), "first",
-        F.col("sha1").isNotNull().alias("again"))
+        "id", "url", "html", "sha", "first", F.col("same1").isNotNull().alias("again"))
 
     def run(batches):
-        records, size = [], 0
+        records, size, chunks, archive = [], 0, 0, Archive()
         for batch in batches:
             for i, url, html, sha, first, again in zip(*(c.to_pylist() for c in batch.columns)):
                 payload = html.encode()
                 records.append(make_record(i, url, payload, base64.b32encode(sha).decode(), first, again, date))
                 size += len(payload)
-                if size >= ARCHIVE_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array([make_archive(records)], pa.binary())], ["value"])
-                    records, size = [], 0
+                if size >= CHUNK_BYTES:
+                    yield row(archive, records)
+                    records, size, chunks = [], 0, chunks + 1
+                    if chunks % ARCHIVE_CHUNKS == 0:  # the sink begins another file
+                        archive = Archive()
         if records:
-            yield pa.RecordBatch.from_arrays([pa.array([make_archive(records)], pa.binary())], ["value"])
+            yield row(archive, records)
 
-    (map_arrow(marked, run, "value binary").select(F.col("value").cast("string").alias("value"))
-     .write.option("lineSep", EMPTY_FRAME).option("maxRecordsPerFile", 1).text(path))
+    def row(archive, records):
+        return pa.RecordBatch.from_arrays([pa.array([archive.chunk(records)], pa.binary())], ["value"])
 
+    (map_arrow(marked, run, "value binary").select(F.col("value").cast("string").alias("value"))
+     .write.option("lineSep", EMPTY_FRAME).option("maxRecordsPerFile", ARCHIVE_CHUNKS).text(path))
 
-def read_archives(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
-    """The records of all archives below ``path``.
 
-    ``page_id, payload_bytes, payload_digest, record_type, refers_to`` and,
-    with ``with_payload``, ``payload`` (null for revisits).  A malformed
-    archive or record is an error that names the file.
-    """
+def _read(spark: SparkSession, path: str, pattern: str, parse, kinds: list[tuple[str, str, pa.DataType]]) -> DataFrame:
+    """``parse(record, file)`` of every record of the files, in rows of ``kinds``; an error names the file."""
     bound_batches(spark)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
-    kinds = [("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
-             ("record_type", pa.string()), ("refers_to", pa.int64())] + [("payload", pa.binary())] * with_payload
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "content")
+
+    def batch_of(rows):
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, _, t in kinds], [k for k, _, _ in kinds])
 
     def run(batches):
         for batch in batches:
@@ -252,15 +313,46 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
                 try:
                     rows = []
                     for record in read_archive(data.as_buffer()):
-                        rows.append(parse_record(record))
+                        rows.append(parse(record, name))
                         if len(rows) == 200:
-                            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in kinds],
-                                                             [k for k, _ in kinds])
+                            yield batch_of(rows)
                             rows = []
                 except ValueError as e:
                     raise ValueError(f"{name}: {e}") from e
-                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in kinds],
-                                                 [k for k, _ in kinds])
+                yield batch_of(rows)
+
+    return map_arrow(files, run, ", ".join(f"{k} {t}" for k, t, _ in kinds))
+
+
+def read_records(spark: SparkSession, path: str, pattern: str = "*.zst") -> DataFrame:
+    """All records of the Zstandard archives below ``path`` whose names match ``pattern``.
+
+    ``file, record_id, record_type, date, target_uri, content_type, refers_to,
+    payload_digest, headers`` (map), ``status, http_headers`` (of HTTP messages,
+    else null), ``payload``.  Records of WARC/1.0 and 1.1 and of any type; a
+    malformed archive or record is an error that names the file.
+    """
+    text = [(k, "string", pa.string()) for k in ("file", "record_id", "record_type", "date", "target_uri", "content_type",
+                                                 "refers_to", "payload_digest")]
+    pairs = ("map<string,string>", pa.map_(pa.string(), pa.string()))
+    kinds = [*text, ("headers", *pairs), ("status", "int", pa.int32()), ("http_headers", *pairs), ("payload", "binary", pa.binary())]
 
-    return map_arrow(files, run, "page_id bigint, payload_bytes bigint, payload_digest string, "
-                                 "record_type string, refers_to bigint" + ", payload binary" * with_payload)
+    def parse(record, name):
+        r = parse_any(record)
+        return r | {"file": name, "headers": list(r["headers"].items()),
+                    "http_headers": None if r["http_headers"] is None else list(r["http_headers"].items())}
+
+    return _read(spark, path, pattern, parse, kinds)
+
+
+def read_archives(spark: SparkSession, path: str, with_payload: bool = False, pattern: str = "part-*") -> DataFrame:
+    """The pages of all archives below ``path`` that :func:`write_archives` wrote.
+
+    ``page_id, payload_bytes, payload_digest, record_type, refers_to`` and,
+    with ``with_payload``, ``payload`` (null for revisits).  A malformed
+    archive or record is an error that names the file.
+    """
+    kinds = [("page_id", "bigint", pa.int64()), ("payload_bytes", "bigint", pa.int64()), ("payload_digest", "string", pa.string()),
+             ("record_type", "string", pa.string()), ("refers_to", "bigint", pa.int64())]
+    kinds += [("payload", "binary", pa.binary())] * with_payload
+    return _read(spark, path, pattern, lambda record, _: parse_record(record), kinds)
