@@ -17,10 +17,10 @@ How it runs:
    list is bounded by its limit, so it is broadcast, and the items are split
    with it before any exchange on ``rid``: no task ever holds a hot receipt.
 2. Plain receipts take **one exchange, by** ``rid`` **alone**.  It serves the
-   collapse of copies to ``(rid, product, c)``, both sides of the self-join,
-   the diagonal and the per-product occurrences.
-3. The diagonal ``(a, a)`` is arithmetic on ``c``, one ``c * (c - 1)`` row
-   per receipt with copies, summed with the other pairs.
+   collapse of copies to ``(rid, product, c)``, both sides of the self-join and
+   the per-product occurrences.
+3. The diagonal ``(a, a)`` is arithmetic on ``c``: in the self-join an item with
+   copies also meets itself, one ``c * (c - 1)`` row per receipt with copies.
 4. Distinct items are paired by a self-join on ``rid`` that keeps ``p1 < p2``
    (every unordered pair once, weight ``c1 * c2``).  The weights are summed
    per pair (partial aggregation right after the join, in the same stage) and
@@ -112,16 +112,26 @@ def _sides(b: DataFrame):
     return left, right
 
 
-def _plain_pairs(b: DataFrame, ordered: bool) -> DataFrame:
-    """Self-join on ``rid``: ``(p1, p2, w)`` for distinct items of a receipt."""
+def _weight(own: bool):
+    """Position pairs of two items of a receipt; of an item with itself ``c * (c - 1)``."""
+    both = F.col("c1") * F.col("c2")
+    return F.when(F.col("p1") == F.col("p2"), F.col("c1") * (F.col("c1") - 1)).otherwise(both) if own else both
+
+
+def _plain_pairs(b: DataFrame, ordered: bool, own: bool = False) -> DataFrame:
+    """Self-join on ``rid``: ``(p1, p2, w)`` for distinct items of a receipt.
+
+    ``own`` adds the diagonal: an item with copies also meets itself.
+    """
     left, right = _sides(b)
     cond = (F.col("p1") != F.col("p2")) if ordered else (F.col("p1") < F.col("p2"))
-    return (left.join(right, "rid").where(cond)
-            .select("p1", "p2", (F.col("c1") * F.col("c2")).alias("w")))
+    if own:
+        cond = cond | ((F.col("p1") == F.col("p2")) & (F.col("c1") > 1))
+    return left.join(right, "rid").where(cond).select("p1", "p2", _weight(own).alias("w"))
 
 
-def _grid_pairs(hot: DataFrame, hot_items: int) -> DataFrame:
-    """Unordered ``(p1 < p2, w)`` for hot receipts, split into bucket blocks.
+def _grid_pairs(hot: DataFrame, hot_items: int, own: bool = False) -> DataFrame:
+    """Unordered ``(p1 < p2, w)`` for hot receipts, split into bucket blocks; ``own`` adds the diagonal.
 
     ``hot`` has ``rid, product, c, d`` (d = distinct items of the receipt).
     Item x lands in bucket ``h(x) mod s``; the left copy of an item in bucket
@@ -142,9 +152,10 @@ def _grid_pairs(hot: DataFrame, hot_items: int) -> DataFrame:
                      F.explode(F.sequence(F.lit(0), F.col("bucket"))).alias("bi"))
     joined = left.join(right, ["rid", "bi", "bj"])
     keep = (F.col("bi") < F.col("bj")) | (F.col("p1") < F.col("p2"))
+    if own:
+        keep = keep | ((F.col("p1") == F.col("p2")) & (F.col("c1") > 1))
     return joined.where(keep).select(
-        F.least("p1", "p2").alias("p1"), F.greatest("p1", "p2").alias("p2"),
-        (F.col("c1") * F.col("c2")).alias("w"))
+        F.least("p1", "p2").alias("p1"), F.greatest("p1", "p2").alias("p2"), _weight(own).alias("w"))
 
 
 def pair_weights(b: Baskets, ordered: bool = False) -> DataFrame:
@@ -171,35 +182,21 @@ def occurrences_from_baskets(b: Baskets) -> DataFrame:
     return all_items(b).groupBy("product").agg(F.sum("c").alias("occurrences"))
 
 
-def _diagonal_weights(b: DataFrame) -> DataFrame:
-    """``(a, a, c * (c - 1))`` for every receipt holding c > 1 copies of a.
-
-    Arithmetic on the copy count: no pair row is made for copies.  These
-    rows join the pair sums of the plain receipts (same aggregation), so the
-    diagonal needs no aggregate of its own.
-    """
-    return b.where(F.col("c") > 1).select(
-        F.col("product").alias("p1"), F.col("product").alias("p2"),
-        (F.col("c") * (F.col("c") - 1)).alias("w"))
-
-
 def pair_counts_from_baskets(b: Baskets, self_pairs: bool = True, form: str = "mirror") -> DataFrame:
     """``(p1, p2, pair_count BIGINT)`` for every ordered pair that occurs."""
     if form not in ("mirror", "ordered"):
         raise ValueError(f"form must be 'mirror' or 'ordered', got {form!r}")
     ordered = form == "ordered"
 
-    def summed(w: DataFrame, of: DataFrame) -> DataFrame:
-        if self_pairs:
-            w = w.unionByName(_diagonal_weights(of))
+    def summed(w: DataFrame) -> DataFrame:
         return w.groupBy("p1", "p2").agg(F.sum("w").alias("pair_count"))
 
-    counts = summed(_plain_pairs(b.plain, ordered), b.plain)
+    counts = summed(_plain_pairs(b.plain, ordered, self_pairs))
     if b.hot is not None:
         # plain and hot receipts are summed apart, then the two small
         # per-pair tables are added
-        grid = _grid_pairs(b.hot, b.hot_items)
-        grid = summed(_mirror(grid, "w") if ordered else grid, b.hot)
+        grid = _grid_pairs(b.hot, b.hot_items, self_pairs)
+        grid = summed(_mirror(grid, "w") if ordered else grid)
         counts = counts.unionByName(grid).groupBy("p1", "p2").agg(F.sum("pair_count").alias("pair_count"))
     return counts if ordered else _mirror(counts, "pair_count")
 
@@ -244,7 +241,7 @@ def pair_rules(items: DataFrame, receipts: DataFrame, self_pairs: bool = True,
     ``sizes`` (``rid, size``) saves counting the items of each receipt.
 
     Plan: the items of plain receipts are shuffled once, by rid, and that
-    shuffle is reused by the pair join, the diagonal rows and the per-product
+    shuffle is reused by both sides of the pair join and the per-product
     occurrences; the occurrences (one row per product) join the pair counts
     on p1; the receipt total is a scalar subquery (no join).
     """
