@@ -264,13 +264,17 @@ def colliding(pairs: DataFrame, held: DataFrame, k: int, matches: int) -> DataFr
     return _filter_pairs(pairs, held, "sig", test)
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+def confirm(pairs: DataFrame, sets: DataFrame, similarity: float, few: bool = False) -> DataFrame:
     """The pairs whose full sets are similar enough.
 
-    Only the sets that pairs need go to the join.
+    Both sides of each join are plain shuffles, so adaptive execution can split
+    the pairs of a class that thousands are paired with.  ``few`` pairs first
+    pick the sets that they need.
     """
     hundredths = round(100 * similarity)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    if few:
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        sets = sets.join(wanted, "id", "left_semi")
 
     def test(x, y):
         out = np.zeros(len(x), bool)
@@ -279,7 +283,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
             out[i] = hundredths * union <= 100 * common
         return out
 
-    return _filter_pairs(pairs, sets.join(wanted, "id", "left_semi"), "shingles", test)
+    return _filter_pairs(pairs, sets, "shingles", test)
 
 
 def components(links: DataFrame, scope: Scope) -> DataFrame:
@@ -343,7 +347,7 @@ def class_links(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str,
              .where("low < high").select(F.col("key").alias("mixed")))
     left = posted.join(mixed, posted["key"] == mixed["mixed"]).select("id", "component").distinct()
     more = similar_pairs(sets, scope.keep(left, "minhash-left"), similarity, scope)
-    return scope.keep(links.unionByName(confirm(more, sets, similarity)), "minhash-links")
+    return scope.keep(links.unionByName(confirm(more, sets, similarity, few=True)), "minhash-links")
 
 
 def similar_pairs(sets: DataFrame, members: DataFrame, similarity: float, scope: Scope) -> DataFrame:
