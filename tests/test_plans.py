@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillroll.operators import ids, items as it, revenue, rules
 from tillroll.plans.queries import QUERIES
 from tillroll.session import Scope
-from tillroll.sources import sinks, tables
+from tillroll.sources import layout, sinks, tables
 from tillroll.sources.receipts import parse_comma_lines
 
 SF = "/root/testdata/sf0.001"
@@ -106,6 +106,46 @@ def test_more_hot_receipts_than_the_list_holds(spark, hot_items, monkeypatch):
     assert want.exceptAll(got).count() == got.exceptAll(want).count() == 0
 
 
+@pytest.fixture
+def stored(spark, tmp_path):
+    """Items and receipts in Parquet files: 3 items on each of 4000 receipts, 7 names."""
+    at = str(tmp_path / "items")
+    spark.range(12000).select((F.col("id") % 4000).alias("rid"),
+                              F.concat(F.lit("p"), F.col("id") % 7).alias("product")).write.parquet(at)
+    spark.range(4000).withColumnRenamed("id", "rid").write.parquet(at + "-receipts")
+    receipts = spark.read.parquet(at + "-receipts")
+    # joined by receipt, as an adapter's items are; nothing is broadcast
+    with settings(spark, spark_sql_autoBroadcastJoinThreshold="-1"):
+        yield spark.read.parquet(at).join(receipts, "rid"), receipts
+
+
+def task_rows(df) -> list[int]:
+    return [r[0] for r in df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).select("n").collect()]
+
+
+@pytest.mark.parametrize("wanted", [8, 16, 40])  # 8: the session's own number
+def test_basket_tasks_are_bounded_on_large_tables(spark, stored, monkeypatch, wanted):
+    items, _ = stored
+    want = rules.pair_counts(items).collect()
+    small = rules.make_baskets(items)
+    assert layout.spread_partitions(items.select("rid", "product")) is None
+    assert len(task_rows(small.plain)) < 8  # adaptive execution merges what is small
+    size = layout.scanned_bytes(items.select("rid", "product"))
+    monkeypatch.setattr(layout, "ADAPTIVE_BYTES", 0)
+    monkeypatch.setattr(layout, "TASK_BYTES", -(-size // wanted))
+    for hot_items in (None, 4096):
+        rows = task_rows(rules.make_baskets(items, hot_items=hot_items).plain)
+        assert sum(rows) == 12000 and len(rows) >= wanted - 1 and max(rows) < 2.5 * 12000 / wanted
+    assert sorted(rules.pair_counts(items).collect()) == sorted(want)
+    assert jobs_of(spark, lambda: rules.pair_counts(items)) == 0
+
+
+def test_frames_of_unknown_size_stay_adaptive(spark, monkeypatch):
+    monkeypatch.setattr(layout, "ADAPTIVE_BYTES", 0)
+    unknown = spark.createDataFrame(spark.sparkContext.parallelize([(1, "a"), (1, "b")]), "rid BIGINT, product STRING")
+    assert layout.spread_partitions(unknown) is None
+
+
 def test_parts_are_counted_before_they_are_named(spark):
     for name in ("monthly_top5", "product_occurrences"):
         lines = shuffled_plan(spark, lambda n=name: QUERIES[n](spark, SF)).splitlines()

@@ -43,12 +43,13 @@ def basket(items: DataFrame, distinct_items: bool = False) -> DataFrame:
     return b
 
 
-def receipt_basket(items: DataFrame, distinct_items: bool = False) -> DataFrame:
+def receipt_basket(items: DataFrame, distinct_items: bool = False, partitions: int | None = None) -> DataFrame:
     """:func:`basket` of receipts of bounded size, exchanged by ``rid`` alone.
 
     That partitioning satisfies the collapse to ``(rid, product)`` and a later
     self-join on ``rid``, so one exchange serves both; copies are collapsed
-    behind it.
+    behind it.  ``partitions`` fixes their number (None: adaptive).
     """
     items = items.where(F.col("rid").isNotNull() & F.col("product").isNotNull())
-    return basket(items.repartition("rid"), distinct_items)
+    items = items.repartition(partitions, "rid") if partitions else items.repartition("rid")
+    return basket(items, distinct_items)

@@ -18,7 +18,8 @@ How it runs:
    with it before any exchange on ``rid``: no task ever holds a hot receipt.
 2. Plain receipts take **one exchange, by** ``rid`` **alone**.  It serves the
    collapse of copies to ``(rid, product, c)``, both sides of the self-join and
-   the per-product occurrences.
+   the per-product occurrences.  On large tables the number of its partitions
+   follows the scanned bytes, so a task's memory doesn't grow with the input.
 3. The diagonal ``(a, a)`` is arithmetic on ``c``: in the self-join an item with
    copies also meets itself, one ``c * (c - 1)`` row per receipt with copies.
 4. Distinct items are paired by a self-join on ``rid`` that keeps ``p1 < p2``
@@ -47,6 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators.items import basket, receipt_basket
+from tillroll.sources.layout import spread_partitions
 
 HOT_ITEMS_DEFAULT = 4096
 MAX_HOT = 1 << 16  # receipts in the broadcast list of hot ones
@@ -84,10 +86,11 @@ def make_baskets(items: DataFrame, distinct_items: bool = False, hot_items: int
     """Split and collapse items.  ``sizes`` (``rid, size``) may be any estimate:
     it only decides which way a receipt goes.  ``hot_items=None``: no split."""
     items = items.select("rid", "product")
+    partitions = spread_partitions(items)
     if hot_items is None:
-        return Baskets(receipt_basket(items, distinct_items), None, None)
+        return Baskets(receipt_basket(items, distinct_items, partitions), None, None)
     plain, hot = split_items(items, hot_items, sizes)
-    return Baskets(receipt_basket(plain, distinct_items), with_distinct(basket(hot, distinct_items)), hot_items)
+    return Baskets(receipt_basket(plain, distinct_items, partitions), with_distinct(basket(hot, distinct_items)), hot_items)
 
 
 def with_distinct(hot: DataFrame) -> DataFrame:
