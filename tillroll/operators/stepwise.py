@@ -34,6 +34,7 @@ from tillroll.operators.rules import (
     with_ratios,
 )
 from tillroll.session import Scope
+from tillroll.sources.layout import spread_partitions
 from tillroll.sources.sinks import save_table
 
 
@@ -48,11 +49,12 @@ def pair_rules_stepwise(items: DataFrame, receipts: DataFrame, buckets: int | No
                         hot_items: int | None = HOT_ITEMS_DEFAULT, sizes: DataFrame | None = None) -> DataFrame:
     """Same result as :func:`tillroll.operators.rules.pair_rules`, in written steps.
 
-    ``buckets`` defaults to the session's shuffle partition count.
+    ``buckets`` defaults to the session's shuffle partition count, on large
+    tables to as many as the scanned bytes ask for.
     """
     spark = items.sparkSession
     prefix = prefix or f"tillroll_q3_{uuid.uuid4().hex[:10]}"
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or spread_partitions(items) or int(spark.conf.get("spark.sql.shuffle.partitions"))
     result = Scope(spark)
     with Scope(spark) as scope:
         made = make_baskets(items, distinct_items, hot_items, sizes)
