@@ -7,7 +7,8 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-from tillroll.operators import ids, items as it, revenue, rules
+from tillroll.operators import ids, items as it, revenue, rules, stepwise
+from tillroll.plans import hive_sql
 from tillroll.plans.queries import QUERIES
 from tillroll.session import Scope
 from tillroll.sources import layout, sinks, tables
@@ -140,6 +141,22 @@ def test_basket_tasks_are_bounded_on_large_tables(spark, stored, monkeypatch, wa
     assert jobs_of(spark, lambda: rules.pair_counts(items)) == 0
 
 
+def test_sql_and_steps_are_spread_on_large_tables(spark, stored, monkeypatch):
+    items, receipts = stored
+    lists = items.select("rid", F.array("product").alias("list"))
+    sql, steps = hive_sql.rules_sql(spark, lists, receipts), stepwise.pair_rules_stepwise(items, receipts, self_pairs=False)
+    want = [sorted(x.collect()) for x in (sql, steps)]
+    monkeypatch.setattr(layout, "ADAPTIVE_BYTES", 0)
+    monkeypatch.setattr(layout, "TASK_BYTES", -(-layout.scanned_bytes(items.select("rid", "product")) // 20))
+    written = []
+    save = stepwise.save_table
+    monkeypatch.setattr(stepwise, "save_table", lambda df, name, *a, **kw: (written.append((name, kw)), save(df, name, *a, **kw)))
+    sql, steps = hive_sql.rules_sql(spark, lists, receipts), stepwise.pair_rules_stepwise(items, receipts, self_pairs=False)
+    assert re.search(r"hashpartitioning\(rid#\d+L?, (19|20)\), REPARTITION_BY_NUM", full_text(sql)), full_text(sql)
+    assert [kw["buckets"] in (19, 20) for name, kw in written if name.endswith("_basket")] == [True]
+    assert [sorted(x.collect()) for x in (sql, steps)] == want and want[0] == want[1]
+
+
 def test_frames_of_unknown_size_stay_adaptive(spark, monkeypatch):
     monkeypatch.setattr(layout, "ADAPTIVE_BYTES", 0)
     unknown = spark.createDataFrame(spark.sparkContext.parallelize([(1, "a"), (1, "b")]), "rid BIGINT, product STRING")

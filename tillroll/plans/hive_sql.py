@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillroll.operators.ids import with_row_number
 from tillroll.operators.rules import HOT_ITEMS_DEFAULT, MAX_HOT
 from tillroll.session import Scope
+from tillroll.sources.layout import spread_partitions
 from tillroll.sources.sinks import save_table
 
 TOP_COLUMNS_SQL = """
@@ -63,7 +64,7 @@ large AS (
     WHERE size > {hot_items} ORDER BY size DESC, rid LIMIT {most}),
 plain AS (
     SELECT /*+ BROADCAST(large) */ rid, item, count(*) AS copies
-    FROM (SELECT /*+ REPARTITION(rid) */ * FROM sold LEFT ANTI JOIN large USING (rid)) GROUP BY rid, item),
+    FROM (SELECT /*+ REPARTITION({by_rid}) */ * FROM sold LEFT ANTI JOIN large USING (rid)) GROUP BY rid, item),
 spread AS (
     SELECT /*+ BROADCAST(large) */ rid, item, count(*) AS copies
     FROM sold LEFT SEMI JOIN large USING (rid) GROUP BY rid, item),
@@ -133,7 +134,10 @@ def rules_sql(spark: SparkSession, receipts: DataFrame, headers: DataFrame,
     ``receipts`` is ``(rid, list)``, any number of rows a receipt; ``headers``
     has one row per receipt.
     """
-    return _run(spark, RULES_SQL, {"hot_items": hot_items, "most": MAX_HOT}, receipts=receipts, headers=headers)
+    partitions = spread_partitions(receipts)
+    by_rid = f"{partitions}, rid" if partitions else "rid"
+    return _run(spark, RULES_SQL, {"hot_items": hot_items, "most": MAX_HOT, "by_rid": by_rid},
+                receipts=receipts, headers=headers)
 
 
 def rules_steps_sql(spark: SparkSession, receipts: DataFrame, headers: DataFrame) -> DataFrame:
