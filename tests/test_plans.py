@@ -157,6 +157,24 @@ def test_sql_and_steps_are_spread_on_large_tables(spark, stored, monkeypatch):
     assert [sorted(x.collect()) for x in (sql, steps)] == want and want[0] == want[1]
 
 
+PAIR_QUERIES = ["pair_counts_mirror"]
+
+
+@pytest.mark.parametrize("name", PAIR_QUERIES)
+def test_every_pair_query_is_spread_on_large_tables(spark, monkeypatch, name):
+    made = []
+    make = rules.make_baskets
+    monkeypatch.setattr(rules, "make_baskets", lambda *a, **kw: (made.append(make(*a, **kw)), made[-1])[1])
+    want = sorted(QUERIES[name](spark, SF).collect(), key=str)
+    size = layout.scanned_bytes(tables.order_items(spark, SF).select("rid", "product"))
+    monkeypatch.setattr(layout, "ADAPTIVE_BYTES", 0)
+    monkeypatch.setattr(layout, "TASK_BYTES", -(-size // 20))
+    assert sorted(QUERIES[name](spark, SF).collect(), key=str) == want
+    merged, spread = (task_rows(b.plain) for b in made)
+    assert sum(merged) == sum(spread) > 0
+    assert len(merged) < 8 and len(spread) >= 19 and max(spread) < 2.5 * sum(spread) / 20
+
+
 def test_frames_of_unknown_size_stay_adaptive(spark, monkeypatch):
     monkeypatch.setattr(layout, "ADAPTIVE_BYTES", 0)
     unknown = spark.createDataFrame(spark.sparkContext.parallelize([(1, "a"), (1, "b")]), "rid BIGINT, product STRING")
