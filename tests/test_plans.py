@@ -157,7 +157,8 @@ def test_sql_and_steps_are_spread_on_large_tables(spark, stored, monkeypatch):
     assert [sorted(x.collect()) for x in (sql, steps)] == want and want[0] == want[1]
 
 
-PAIR_QUERIES = ["pair_counts_mirror", "pair_counts_selfjoin", "pair_rules", "pair_rules_pct1"]
+PAIR_QUERIES = ["pair_counts_mirror", "pair_counts_selfjoin", "pair_rules", "pair_rules_pct1",
+                "pair_rules_pct2"]
 
 
 @pytest.mark.parametrize("name", PAIR_QUERIES)
