@@ -159,7 +159,7 @@ def test_sql_and_steps_are_spread_on_large_tables(spark, stored, monkeypatch):
 
 PAIR_QUERIES = ["pair_counts_mirror", "pair_counts_selfjoin", "pair_rules", "pair_rules_pct1",
                 "pair_rules_pct2", "pair_rules_raw_percent", "pair_rules_unrounded_percent",
-                "rules_text_sink", "pair_counts"]
+                "rules_text_sink", "pair_counts", "pair_rules_distinct"]
 
 
 @pytest.mark.parametrize("name", PAIR_QUERIES)
